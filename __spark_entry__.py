@@ -42,13 +42,13 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(sales_fact(spark, sf_dir)[0])
 
 
-def _cast_query(table: str, keep: str | None, expr: str, name: str, type_: T.DataType) -> Query:
-    """One column of a table, cast through a one-column contract."""
+def _cast_query(table: str, key: str, **casts: tuple[str, T.DataType]) -> Query:
+    """Expressions over a table, each cast to its type through a contract."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        kept = [keep] if keep else []
-        raw = scan(spark, f"{sf_dir}/{table}.parquet").selectExpr(*kept, f"{expr} AS {name}")
-        return cast_columns(raw, Contract((Field(name, type_),)))
+        raw = [f"{expr} AS {name}" for name, (expr, _) in casts.items()]
+        contract = Contract(tuple(Field(name, type_) for name, (_, type_) in casts.items()))
+        return cast_columns(scan(spark, f"{sf_dir}/{table}.parquet").selectExpr(key, *raw), contract)
 
     return query
 
@@ -72,7 +72,7 @@ def typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = scan(spark, f"{sf_dir}/orders.parquet")
-    return scan(spark, write_parquet(orders, scratch(spark), partitions="auto"))
+    return scan(spark, write_parquet(orders, scratch(spark)))
 
 
 def export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +118,7 @@ def contract_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 def contract_text_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     limits = Contract((
         Field("text", T.StringType(), max_length=100),
-        Field("source", T.StringType(), max_length=8),
+        Field("source", T.StringType(), max_length=4),
     ))
     return check(scan(spark, f"{sf_dir}/documents.parquet"), limits)
 
@@ -175,12 +175,23 @@ def queries() -> dict[str, Query]:
         "scan_parquet": scan_parquet,
         "strip_headings": headings,
         "derive_desc1": derive_desc1,
-        "cast_long": _cast_query("nation", None, "n_nationkey", "k", T.LongType()),
-        "cast_int": _cast_query("lineitem", "l_orderkey", "l_extendedprice", "v", T.IntegerType()),
-        "cast_date": _cast_query("events", "event_id", "ts", "d", T.DateType()),
-        "cast_string": _cast_query("part", "p_partkey", "p_size", "s", T.StringType()),
+        "cast_long": _cast_query(
+            "lineitem", "l_orderkey",
+            k=("l_linenumber", T.LongType()),
+            t=("CAST(l_quantity AS STRING)", T.LongType()),
+        ),
+        "cast_int": _cast_query(
+            "lineitem", "l_orderkey",
+            v=("l_extendedprice", T.IntegerType()),
+            t=("CAST(l_extendedprice AS STRING)", T.IntegerType()),
+            w=("l_orderkey * 100000", T.IntegerType()),
+        ),
+        "cast_date": _cast_query("events", "event_id", d=("ts", T.DateType())),
+        "cast_string": _cast_query("part", "p_partkey", s=("p_size", T.StringType())),
         "cast_decimal": _cast_query(
-            "lineitem", "l_orderkey", "l_extendedprice * (1 - l_discount)", "v", T.DecimalType(18, 2)
+            "lineitem", "l_orderkey",
+            v=("l_extendedprice * (1 - l_discount)", T.DecimalType(18, 2)),
+            t=("CAST(l_extendedprice AS STRING)", T.DecimalType(18, 2)),
         ),
         "typed_projection": typed_projection,
         "parquet_roundtrip": parquet_roundtrip,
@@ -204,13 +215,22 @@ def oracle_sql() -> dict[str, str]:
         "scan_parquet": "SELECT * FROM lineitem",
         "strip_headings": oracle.source(),
         "derive_desc1": "SELECT doc_id, substring(text, 4, 6) AS Desc1 FROM documents",
-        "cast_long": "SELECT try_cast(n_nationkey AS bigint) AS k FROM nation",
-        "cast_int": "SELECT l_orderkey, try_cast(trunc(l_extendedprice) AS int) AS v FROM lineitem",
+        "cast_long": (
+            "SELECT l_orderkey, try_cast(l_linenumber AS bigint) AS k,"
+            " try_cast(trunc(try_cast(CAST(l_quantity AS varchar) AS decimal(38,18))) AS bigint) AS t"
+            " FROM lineitem"
+        ),
+        "cast_int": (
+            "SELECT l_orderkey, try_cast(trunc(l_extendedprice) AS int) AS v,"
+            " try_cast(trunc(try_cast(CAST(l_extendedprice AS varchar) AS decimal(38,18))) AS int) AS t,"
+            " try_cast(l_orderkey * 100000 AS int) AS w FROM lineitem"
+        ),
         "cast_date": "SELECT event_id, try_cast(ts AS date) AS d FROM events",
         "cast_string": "SELECT p_partkey, CAST(p_size AS varchar) AS s FROM part",
         "cast_decimal": (
             "SELECT l_orderkey, try_cast(CAST(l_extendedprice * (1 - l_discount) AS varchar)"
-            " AS decimal(18,2)) AS v FROM lineitem"
+            " AS decimal(18,2)) AS v,"
+            " try_cast(CAST(l_extendedprice AS varchar) AS decimal(18,2)) AS t FROM lineitem"
         ),
         "typed_projection": f"SELECT * EXCLUDE (Desc1) FROM ({oracle.prepared()})",
         "parquet_roundtrip": "SELECT * FROM orders",

@@ -2,7 +2,7 @@
 
 from factloom.contract import SALES, SALES_IMPORT, Contract, Field
 from factloom.operators.casting import cast_columns
-from factloom.operators.checks import ContractViolation, check, split
+from factloom.operators.checks import ContractViolation, check, enforce, split
 from factloom.operators.deriving import derive_substring
 from factloom.operators.headings import strip_headings
 from factloom.plans.chain import run_chain
@@ -22,6 +22,7 @@ __all__ = [
     "check",
     "derive_substring",
     "drop",
+    "enforce",
     "export_table",
     "import_external",
     "load_table",

@@ -11,7 +11,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ from factloom.functions.names import column, folded, require_columns
 
 
 class ContractViolation(ValueError):
-    """Rows, or the schema, break the contract."""
+    """The schema differs from the contract."""
 
 
 def _longer_than(text: Column, limit: int) -> Column:
@@ -67,31 +67,32 @@ def check(df: DataFrame, contract: Contract) -> DataFrame:
     return df.agg(*[F.count_if(broken).alias(name) for name, broken in rules(df, contract).items()])
 
 
-def _any_broken(df: DataFrame, contract: Contract) -> Column:
-    return reduce(or_, rules(df, contract).values(), F.lit(False))
-
-
 def split(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     """The rows that keep every rule, and the others with a ``violations`` array.
 
     Together they are all rows of ``df``.
     """
-    broken = _any_broken(df, contract)
-    reasons = [F.when(cond, F.lit(name)) for name, cond in rules(df, contract).items()]
+    found = rules(df, contract)
+    broken = reduce(or_, found.values(), F.lit(False))
+    reasons = [F.when(cond, F.lit(name)) for name, cond in found.items()]
     labels = F.array_compact(F.array(*reasons)).cast("array<string>")
     return df.where(~broken), df.where(broken).withColumn("violations", labels)
 
 
-def watch(df: DataFrame, contract: Contract) -> tuple[DataFrame, Observation]:
-    """``df`` that notes, while it is being written, how many rows break a rule.
+def enforce(df: DataFrame, contract: Contract) -> DataFrame:
+    """``df`` whose job stops at the first row that breaks a rule, naming the rule.
 
-    The note costs no scan of its own. A task that Spark runs twice may be
-    noted twice, so use ``rejected`` to tell none from some, and ``check`` for
-    exact counts.
+    Parquet tables take nulls in columns declared NOT NULL, so this is how a
+    write keeps to the contract. It is a guard around the first column, run in
+    the same pass as the write.
     """
-    note = Observation()
-    counted = F.count_if(_any_broken(df, contract)).alias("rejected")
-    return df.observe(note, counted), note
+    first, *rest = [column(name) for name in df.columns]
+    guard = F
+    for name, broken in rules(df, contract).items():
+        guard = guard.when(broken, F.raise_error(F.lit(f"a row breaks the contract: {name}")))
+    if guard is F:
+        return df
+    return df.select(guard.otherwise(first).alias(df.columns[0]), *rest)
 
 
 def type_differences(df: DataFrame, contract: Contract) -> list[str]:

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from factloom.contract import SALES, SALES_IMPORT, Contract
-from factloom.operators.checks import ContractViolation, check, require_types, split
+from factloom.operators.checks import require_types, split
 from factloom.plans.prep import DESC1, Substring, run_prep
-from factloom.sources.files import join_path, write_parquet
-from factloom.sources.tables import export_table, import_external, load_table
+from factloom.sources.files import join_path, scan, write_parquet
+from factloom.sources.tables import as_declared, export_table, import_external, load_table
 
 
 def run_chain(
@@ -34,24 +34,24 @@ def run_chain(
 
     ``partitions`` spreads the rows of the loaded table; see ``place``.
 
-    Rows that break the ``declared`` contract are noticed while the prepared
-    files are written. ``on_violation="fail"`` then stops before the target is
-    touched; ``"split"`` writes them with their reasons to ``base``/rejected
-    and loads all others.
+    No row that breaks the ``declared`` contract is loaded. With
+    ``on_violation="fail"`` the first one stops the chain while the prepared
+    files are written, before the target is touched; with ``"split"`` all of
+    them are written with their reasons to ``base``/rejected, and the other
+    rows are loaded.
     """
     if on_violation not in ("fail", "split"):
         raise ValueError(f"on_violation must be 'fail' or 'split', not {on_violation!r}")
     exported = export_table(spark, source_table, base)
-    broken = run_prep(
+    run_prep(
         spark, exported, join_path(base, "prepared"),
-        contract=contract, derive=derive, on_error=on_error, declared=declared,
+        contract=contract, derive=derive, on_error=on_error,
+        declared=declared if on_violation == "fail" else None,
     )
     loadable = import_external(spark, base, declared=declared, name=imported_as)
     require_types(loadable, declared)
-    if broken and on_violation == "fail":
-        counts = check(loadable, declared).first().asDict()
-        raise ContractViolation(f"rows break the contract: { {k: n for k, n in counts.items() if n} }")
-    if broken:
-        loadable, rejected = split(loadable, declared)
+    if on_violation == "split":
+        accepted, rejected = split(scan(spark, join_path(base, "prepared")), declared)
         write_parquet(rejected, join_path(base, "rejected"))
+        loadable = as_declared(accepted, declared)
     return load_table(loadable, target_table, partitions)

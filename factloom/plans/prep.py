@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from factloom.contract import SALES, Contract
 from factloom.functions.names import require_columns
 from factloom.operators.casting import cast_columns
-from factloom.operators.checks import watch
+from factloom.operators.checks import enforce
 from factloom.operators.deriving import derive_substring
 from factloom.operators.headings import strip_headings
 from factloom.sources.files import require_apart, scan, write_parquet
@@ -59,18 +59,14 @@ def run_prep(
     on_error: str = "null",
     partitions: int | str | None = None,
     declared: Contract | None = None,
-) -> int:
+) -> str:
     """Prepare the files in ``source`` into Parquet in ``target``, replacing what is there.
 
-    With ``declared``, rows that break that contract are counted during the
-    write. Returns how many there were; 0 means none, and any other number is
-    exact only if Spark ran no task twice.
+    With ``declared``, the first row that breaks that contract stops the job.
+    Returns ``target``.
     """
     require_apart(spark, source, target)
     prepared = prep(scan(spark, source, fmt), contract, derive, on_error)
-    if declared is None:
-        write_parquet(prepared, target, partitions)
-        return 0
-    watched, note = watch(prepared, declared)
-    write_parquet(watched, target, partitions)
-    return note.get.get("rejected", 0)
+    if declared is not None:
+        prepared = enforce(prepared, declared)
+    return write_parquet(prepared, target, partitions)

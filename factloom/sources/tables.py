@@ -57,6 +57,16 @@ def export_table(
     return path
 
 
+def _declared_columns(declared: Contract) -> list[str]:
+    return [f"CAST(`{f.name}` AS {f.type.simpleString()}) AS `{f.name}`" for f in declared.fields]
+
+
+def as_declared(df: DataFrame, declared: Contract) -> DataFrame:
+    """The declared columns of ``df``, in the declared types and order."""
+    require_columns(df, declared.names)
+    return df.selectExpr(*_declared_columns(declared))
+
+
 def import_external(
     spark: SparkSession,
     base: str,
@@ -72,14 +82,12 @@ def import_external(
     view over the files, in place of any earlier one; no data is copied.
     """
     path = join_path(base, location)
-    files = scan(spark, path)
-    require_columns(files, declared.names)
-    columns = [f"CAST(`{f.name}` AS {f.type.simpleString()}) AS `{f.name}`" for f in declared.fields]
+    imported = as_declared(scan(spark, path), declared)
     if name is None:
-        return files.selectExpr(*columns)
+        return imported
     drop(spark, name)
-    quoted = path.replace("`", "``")
-    spark.sql(f"CREATE VIEW {name} AS SELECT {', '.join(columns)} FROM parquet.`{quoted}`")
+    columns, quoted = ", ".join(_declared_columns(declared)), path.replace("`", "``")
+    spark.sql(f"CREATE VIEW {name} AS SELECT {columns} FROM parquet.`{quoted}`")
     return spark.table(name)
 
 
