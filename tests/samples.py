@@ -1,0 +1,49 @@
+"""Small hand-made rows of the sales fact, headings spaced and all values text."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+GOOD = {
+    "Sale Key": "1",
+    "City Key": "2",
+    "Customer Key": "3",
+    "Bill To Customer Key": "4",
+    "Stock Item Key": "5",
+    "Invoice Date Key": "2013-01-05",
+    "Delivery Date Key": "2013-01-06",
+    "Salesperson Key": "6",
+    "WWI Invoice ID": "7",
+    "Description": "abcdefghij",
+    "Package": "Each",
+    "Quantity": "23.0",
+    "Unit Price": "1.005",
+    "Tax Rate": "14.375",
+    "Total Excluding Tax": "100",
+    "Tax Amount": "-14.375",
+    "Profit": "1.5",
+    "Total Including Tax": "114.375",
+    "Total Dry Items": "3.7",
+    "Total Chiller Items": "0",
+    "Lineage Key": "9",
+}
+
+
+def raw_sales(spark: SparkSession, *changes: dict[str, str | None]) -> DataFrame:
+    """One row per change to the good row; the good row alone when there are none."""
+    rows = [tuple((GOOD | change).values()) for change in changes or ({},)]
+    schema = ", ".join(f"`{name}` string" for name in GOOD)
+    return spark.createDataFrame(rows, schema)
+
+
+def planted(df: DataFrame, **values: object) -> DataFrame:
+    return df.withColumns({name: F.lit(v).cast(df.schema[name].dataType) for name, v in values.items()})
+
+
+def physical_plan(df: DataFrame) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def optimized_plan(df: DataFrame) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()

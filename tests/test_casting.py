@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from factloom import Contract, Field, cast_columns
+from tests.samples import optimized_plan
+
+INT, LONG, DATE = T.IntegerType(), T.LongType(), T.DateType()
+MONEY = T.DecimalType(18, 2)
+
+
+def cast(spark, values, source, target, on_error="null"):
+    df = spark.createDataFrame([(v,) for v in values], f"v {source}")
+    return [r.v for r in cast_columns(df, Contract((Field("v", target),)), on_error).collect()]
+
+
+def test_text_to_int(spark):
+    texts = ["abc", "3.7", "-3.7", "23.0", " 12 ", "", ".5", "+4", "5000000000", None, "2147483647"]
+    assert cast(spark, texts, "string", INT) == [
+        None, 3, -3, 23, 12, None, 0, 4, None, None, 2147483647,
+    ]
+
+
+def test_text_to_long_keeps_19_digits(spark):
+    texts = ["9223372036854775807", "-9223372036854775808", "9223372036854775808", "1.9"]
+    assert cast(spark, texts, "string", LONG) == [2**63 - 1, -(2**63), None, 1]
+
+
+def test_numbers_to_int_truncate_or_become_null(spark):
+    assert cast(spark, [3.7, -3.7, 1e20, None], "double", INT) == [3, -3, None, None]
+    assert cast(spark, [7, 5000000000], "bigint", INT) == [7, None]
+
+
+def test_doubles_to_decimal_round_their_shortest_text_half_up(spark):
+    assert cast(spark, [1.005, 14.375, -14.375, 1e20], "double", MONEY) == [
+        Decimal("1.01"), Decimal("14.38"), Decimal("-14.38"), None,
+    ]
+
+
+def test_text_to_decimal(spark):
+    assert cast(spark, ["14.375", "x", " 1 ", "1e2"], "string", MONEY) == [
+        Decimal("14.38"), None, Decimal("1.00"), Decimal("100.00"),
+    ]
+
+
+def test_to_date(spark):
+    assert cast(spark, ["2013", "2013-01-05", "x", "2013-01-05 23:59:59"], "string", DATE) == [
+        date(2013, 1, 1), date(2013, 1, 5), None, date(2013, 1, 5),
+    ]
+    assert cast(spark, [datetime(2013, 1, 5, 23, 59, 59)], "timestamp_ntz", DATE) == [date(2013, 1, 5)]
+
+
+def test_int_to_date_is_an_analysis_error(spark):
+    with pytest.raises(Exception, match="DATATYPE_MISMATCH"):
+        cast(spark, [20130105], "int", DATE)
+
+
+def test_to_string(spark):
+    assert cast(spark, [7, None], "int", T.StringType()) == ["7", None]
+
+
+def test_fail_mode_stops_at_a_bad_value_and_reads_good_ones_alike(spark):
+    assert cast(spark, ["23.0", " 12 "], "string", INT, "fail") == [23, 12]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|CAST_OVERFLOW"):
+        cast(spark, ["abc"], "string", INT, "fail")
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        cast(spark, [5000000000], "bigint", INT, "fail")
+
+
+def test_legacy_mode_wraps_and_truncates(spark, ansi_off):
+    texts = ["abc", "3.7", "23.0", " 12 ", "1e3", "."]
+    assert cast(spark, texts, "string", INT, "legacy") == [None, 3, 23, 12, None, 0]
+    assert cast(spark, [5000000000], "bigint", INT, "legacy") == [705032704]
+
+
+def test_null_mode_does_not_depend_on_ansi(spark, ansi_off):
+    assert cast(spark, ["abc", "3.7", "5000000000"], "string", INT) == [None, 3, None]
+    assert cast(spark, [5000000000], "bigint", INT) == [None]
+
+
+def test_modes_that_the_session_cannot_give_are_refused(spark):
+    for mode in ("legacy", "ignore"):
+        with pytest.raises(ValueError, match="on_error"):
+            cast(spark, [1], "int", LONG, mode)
+
+
+def test_equal_types_are_not_cast(spark):
+    df = spark.range(3).select(F.col("id").alias("v"), F.lit("x").alias("s"))
+    contract = Contract((Field("v", LONG), Field("s", T.StringType())))
+    assert "cast(" not in optimized_plan(cast_columns(df, contract))
+
+
+def test_position_extras_and_declared_spelling(spark):
+    df = spark.createDataFrame([("1", "x", "2")], ["SALEKEY", "no.te", "citykey"])
+    contract = Contract((Field("CityKey", INT), Field("SaleKey", LONG)))
+    typed = cast_columns(df, contract)
+    assert typed.dtypes == [("SaleKey", "bigint"), ("no.te", "string"), ("CityKey", "int")]
+
+
+def test_all_missing_columns_are_named_at_once(spark):
+    contract = Contract((Field("a", INT), Field("b", INT), Field("c", INT)))
+    with pytest.raises(ValueError, match=r"\['b', 'c'\]"):
+        cast_columns(spark.createDataFrame([(1,)], ["a"]), contract)

@@ -1,0 +1,136 @@
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from factloom import (
+    SALES,
+    SALES_IMPORT,
+    Contract,
+    ContractViolation,
+    Field,
+    check,
+    enforce,
+    prep,
+    split,
+)
+from factloom.operators.checks import require_types, rules
+from tests.samples import optimized_plan, physical_plan, planted, raw_sales
+
+
+@pytest.fixture
+def good(spark):
+    return prep(raw_sales(spark))
+
+
+def broken_rules(df, contract=SALES_IMPORT):
+    return {rule for rule, n in check(df, contract).first().asDict().items() if n}
+
+
+def test_a_good_row_breaks_nothing(good):
+    assert broken_rules(good) == set()
+
+
+def test_a_null_breaks_every_column_but_the_delivery_date(good):
+    for name in SALES.names:
+        expected = set() if name == "DeliveryDateKey" else {f"{name}_nulls"}
+        assert broken_rules(planted(good, **{name: None})) == expected
+
+
+@pytest.mark.parametrize(("name", "limit"), [("Description", 100), ("Package", 50), ("Desc1", 50)])
+def test_the_longest_allowed_text_and_one_more(good, name, limit):
+    assert broken_rules(planted(good, **{name: "é" * limit})) == set()
+    assert broken_rules(planted(good, **{name: "é" * (limit + 1)})) == {f"{name}_too_long"}
+
+
+def test_length_is_in_utf16_units(good):
+    assert broken_rules(planted(good, Package="😀" * 25)) == set()
+    assert broken_rules(planted(good, Package="😀" * 25 + "a")) == {"Package_too_long"}
+    assert broken_rules(planted(good, Package="a" * 48 + "😀")) == set()
+    assert broken_rules(planted(good, Package="a" * 49 + "😀")) == {"Package_too_long"}
+
+
+def test_a_value_too_large_for_the_declared_scale_is_noticed(good):
+    large = planted(good, TaxRate=Decimal("9999999999999999.99"))
+    assert broken_rules(large, SALES) == set()
+    assert broken_rules(large) == {"TaxRate_nulls"}
+
+
+def test_a_nullable_column_of_another_type_is_mistyped_not_null(spark):
+    df = spark.createDataFrame([("x",), ("1",), (None,)], "n string")
+    contract = Contract((Field("n", T.IntegerType(), nullable=True),))
+    assert check(df, contract).first().asDict() == {"n_mistyped": 1}
+
+
+def test_check_is_one_scan_with_a_partial_aggregate(spark, good, tmp_path):
+    good.write.parquet(str(tmp_path / "p"))
+    plan = physical_plan(check(spark.read.parquet(str(tmp_path / "p")), SALES))
+    assert plan.count("FileScan") == 1 and "partial_count" in plan
+    assert plan.count("Exchange") == 1 and "Exchange SinglePartition" in plan
+    assert "DeliveryDateKey" not in plan
+
+
+def test_rules_not_selected_are_not_computed(good):
+    plan = optimized_plan(check(good, SALES).select("CityKey_nulls"))
+    assert "Description" not in plan.split("LogicalRDD")[0]
+
+
+def test_check_of_no_rows_is_a_row_of_zeros(good):
+    assert set(check(good.where("false"), SALES).first()) == {0}
+
+
+def test_split_keeps_every_row_once(spark):
+    df = prep(raw_sales(
+        spark,
+        {},
+        {"City Key": "x"},
+        {"Delivery Date Key": None},
+        {"Description": None},
+        {"Description": "d" * 101, "Package": None},
+    ))
+    accepted, rejected = split(df, SALES_IMPORT)
+    assert accepted.columns == df.columns
+    assert accepted.count() == 2
+    assert sorted(tuple(r.violations) for r in rejected.collect()) == [
+        ("CityKey_nulls",),
+        ("Description_nulls", "Desc1_nulls"),
+        ("Description_too_long", "Package_nulls"),
+    ]
+
+
+def test_enforce_passes_good_rows_and_names_the_broken_rule(spark):
+    fine = prep(raw_sales(spark, {}, {"Delivery Date Key": None}))
+    assert enforce(fine, SALES_IMPORT).collect() == fine.collect()
+    with pytest.raises(Exception, match="TaxRate_nulls"):
+        enforce(prep(raw_sales(spark, {}, {"Tax Rate": "x"})), SALES_IMPORT).collect()
+
+
+def test_enforce_adds_no_shuffle_and_no_second_scan(spark, tmp_path):
+    raw_sales(spark).write.parquet(str(tmp_path / "p"))
+    plan = physical_plan(enforce(prep(spark.read.parquet(str(tmp_path / "p"))), SALES_IMPORT))
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "*(1) Project" in plan
+
+
+def test_enforce_without_rules_is_the_same_frame(spark):
+    df = spark.range(1)
+    assert enforce(df, Contract((Field("id", T.LongType(), nullable=True),))) is df
+
+
+def test_every_rule_is_never_null(good):
+    empty = planted(good, **dict.fromkeys(SALES.names))
+    conditions = rules(empty, SALES_IMPORT)
+    row = empty.select(*[c.alias(n) for n, c in conditions.items()]).first()
+    assert None not in tuple(row)
+
+
+def test_contract_types(good):
+    require_types(good, SALES)
+    with pytest.raises(ContractViolation, match=r"TaxRate is decimal\(18,2\), declared decimal\(18,3\)"):
+        require_types(good, SALES_IMPORT)
+    with pytest.raises(ContractViolation, match="columns are"):
+        require_types(good.select(*reversed(SALES.names)), SALES)
+    with pytest.raises(ContractViolation, match="columns are"):
+        require_types(good.withColumn("extra", F.lit(1)), SALES)
