@@ -12,15 +12,12 @@ The three ways to treat a value that does not fit its target type:
 from __future__ import annotations
 
 from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # What spark.sql.ansi.enabled must be for each mode; try_cast ignores it.
 _ANSI_NEEDED = {"null": None, "fail": "true", "legacy": "false"}
 
-# Text is read as an exact number first: '23.0' is not an integer to an ANSI
-# cast, and a double would lose digits of a 19-digit key.
-_EXACT_NUMBER = T.DecimalType(38, 18)
-
 
 def require_mode(spark: SparkSession, on_error: str) -> None:
     if on_error not in _ANSI_NEEDED:
@@ -30,13 +27,29 @@ def require_mode(spark: SparkSession, on_error: str) -> None:
         raise ValueError(f"on_error={on_error!r} needs spark.sql.ansi.enabled={needed}")
 
 
+def _cast(column: Column, target: T.DataType, on_error: str) -> Column:
+    return column.try_cast(target) if on_error == "null" else column.cast(target)
+
+
+def _text_to_integer(text: Column, target: T.DataType, on_error: str) -> Column:
+    """The whole part of the number in ``text``; '23.0' and '23.7' are 23.
+
+    The number is read as an exact decimal: an ANSI cast takes '23.0' for no
+    integer (and is slow to say so), and a double loses digits of a 19-digit
+    key. Up to nine bytes of text need no more than eight decimals, which fit
+    the decimal that Spark keeps in one long; only what that leaves open, and
+    bad text, takes the wide decimal.
+    """
+    short = text.try_cast(T.DecimalType(18, 8)).try_cast(target)
+    wide = _cast(_cast(text, T.DecimalType(38, 18), on_error), target, on_error)
+    return F.coalesce(F.when(F.octet_length(text) <= 9, short), wide)
+
+
 def cast_to(column: Column, source: T.DataType, target: T.DataType, on_error: str) -> Column:
     """``column`` of type ``source`` as ``target``; no cast at all when they are equal."""
     if source == target:
         return column
-    steps = [target]
-    if on_error != "legacy" and isinstance(source, T.StringType) and isinstance(target, T.IntegralType):
-        steps.insert(0, _EXACT_NUMBER)
-    for step in steps:
-        column = column.try_cast(step) if on_error == "null" else column.cast(step)
-    return column
+    from_text = isinstance(source, T.StringType) and isinstance(target, T.IntegralType)
+    if from_text and on_error != "legacy":
+        return _text_to_integer(column, target, on_error)
+    return _cast(column, target, on_error)

@@ -17,7 +17,10 @@ from pyspark.sql import types as T
 
 from factloom.contract import Contract, Field
 from factloom.functions.casts import cast_to
-from factloom.functions.names import column, folded, require_columns
+from factloom.functions.names import column, folded, require_columns, require_distinct
+
+
+_BROKEN = "broken rule"
 
 
 class ContractViolation(ValueError):
@@ -27,12 +30,12 @@ class ContractViolation(ValueError):
 def _longer_than(text: Column, limit: int) -> Column:
     """Whether ``text`` needs more than ``limit`` UTF-16 units, the unit of nvarchar(n).
 
-    A character is one or two units, so only text whose character count leaves
-    the answer open is encoded.
+    Text is held as UTF-8, with one to three bytes for each unit, so its size
+    answers most cases; only the others are encoded. A unit is two bytes.
     """
-    units = F.octet_length(F.encode(text, "UTF-16BE")) / 2
-    undecided = (F.length(text) > limit // 2) & (units > limit)
-    return F.coalesce((F.length(text) > limit) | undecided, F.lit(False))
+    size = F.octet_length(text)
+    exact = F.octet_length(F.encode(text, "UTF-16BE")) > 2 * limit
+    return F.coalesce((size > limit) & ((size > 3 * limit) | exact), F.lit(False))
 
 
 def _field_rules(field: Field, present: T.StructField) -> dict[str, Column]:
@@ -86,13 +89,18 @@ def enforce(df: DataFrame, contract: Contract) -> DataFrame:
     write keeps to the contract. It is a guard around the first column, run in
     the same pass as the write.
     """
-    first, *rest = [column(name) for name in df.columns]
-    guard = F
-    for name, broken in rules(df, contract).items():
-        guard = guard.when(broken, F.raise_error(F.lit(f"a row breaks the contract: {name}")))
-    if guard is F:
+    found = rules(df, contract)
+    if not found:
         return df
-    return df.select(guard.otherwise(first).alias(df.columns[0]), *rest)
+    require_distinct(df, [*df.columns, _BROKEN])
+    case = F
+    for name, broken in found.items():
+        case = case.when(broken, F.lit(name))
+    named = df.select("*", case.alias(_BROKEN))
+    first, *rest = [column(name) for name in df.columns]
+    stop = F.raise_error(F.concat(F.lit("a row breaks the contract: "), column(_BROKEN)))
+    guarded = F.when(column(_BROKEN).isNotNull(), stop).otherwise(first)
+    return named.select(guarded.alias(df.columns[0]), *rest)
 
 
 def type_differences(df: DataFrame, contract: Contract) -> list[str]:

@@ -31,6 +31,23 @@ def test_text_to_long_keeps_19_digits(spark):
     assert cast(spark, texts, "string", LONG) == [2**63 - 1, -(2**63), None, 1]
 
 
+def test_short_and_long_text_agree(spark):
+    """Text of up to nine bytes takes another route than the same number with zeros before it."""
+    texts = [
+        "0", "-0", "7.", ".99999999", "-.9999999", "99999.999", "999999999", "-99999999", "9.9999999",
+        "1e3", "1e10", "9e9", "-5e9", "99999e-5", "999999e-6", "9e-9", "2.5e1", "1e99", "é", "1 2", "--1",
+        "1,000", "NaN", "0x10", "9.99e-1", "12345678e", "\t5\n", "+9999.999",
+    ]
+    for target in (INT, LONG):
+        short = cast(spark, texts, "string", target)
+        padded = [t[:1] + "0" * 12 + t[1:] if t[0] in "+-" else "0" * 12 + t for t in texts]
+        padded[texts.index("\t5\n")] = "\t0000000000005\n"
+        assert short == cast(spark, padded, "string", target)
+    assert cast(spark, ["1e10", "999999e-6", ".99999999", "12345678.99999999999"], "string", LONG) == [
+        10**10, 0, 0, 12345678,
+    ]
+
+
 def test_numbers_to_int_truncate_or_become_null(spark):
     assert cast(spark, [3.7, -3.7, 1e20, None], "double", INT) == [3, -3, None, None]
     assert cast(spark, [7, 5000000000], "bigint", INT) == [7, None]
