@@ -33,7 +33,7 @@ from factloom import (
     write_parquet,
 )
 from fixtures import oracle
-from fixtures.sales import sales_fact, sales_source, scratch, scratch_schema
+from fixtures.sales import planted_fact, sales_fact, sales_source, scratch, scratch_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,10 +96,8 @@ def load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _planted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared rows with nulls and over-long text planted by value; see ``oracle.PLANTED``."""
-    prepared = prep(_fact(spark, sf_dir))
-    planted = [F.expr(oracle.PLANTED.get(n, n)).alias(n) for n in prepared.columns]
-    return prepared.select(*planted)
+    """Prepared rows with nulls and over-long text planted by value."""
+    return planted_fact(spark, sf_dir, oracle.PLANTED)
 
 
 def _counts(spark: SparkSession, sf_dir: str, suffix: str) -> DataFrame:

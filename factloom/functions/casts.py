@@ -18,6 +18,9 @@ from pyspark.sql import types as T
 # What spark.sql.ansi.enabled must be for each mode; try_cast ignores it.
 _ANSI_NEEDED = {"null": None, "fail": "true", "legacy": "false"}
 
+# One above the largest value of the integers narrower than a double's 53 bits.
+_NARROW = {T.ByteType: 2**7, T.ShortType: 2**15, T.IntegerType: 2**31}
+
 
 def require_mode(spark: SparkSession, on_error: str) -> None:
     if on_error not in _ANSI_NEEDED:
@@ -31,6 +34,15 @@ def _cast(column: Column, target: T.DataType, on_error: str) -> Column:
     return column.try_cast(target) if on_error == "null" else column.cast(target)
 
 
+def _to_narrow_integer(number: Column, target: T.DataType) -> Column:
+    """``try_cast`` for numbers that may be out of range, asked first because it is cheaper.
+
+    A failed ``try_cast`` costs an exception, some hundred times a good one.
+    """
+    bound = _NARROW[type(target)]
+    return F.when((number > -bound - 1) & (number < bound), number.try_cast(target))
+
+
 def _text_to_integer(text: Column, target: T.DataType, on_error: str) -> Column:
     """The whole part of the number in ``text``; '23.0' and '23.7' are 23.
 
@@ -52,4 +64,7 @@ def cast_to(column: Column, source: T.DataType, target: T.DataType, on_error: st
     from_text = isinstance(source, T.StringType) and isinstance(target, T.IntegralType)
     if from_text and on_error != "legacy":
         return _text_to_integer(column, target, on_error)
+    from_wide = isinstance(source, (T.LongType, T.FloatType, T.DoubleType)) and type(target) in _NARROW
+    if from_wide and on_error == "null":
+        return _to_narrow_integer(column, target)
     return _cast(column, target, on_error)

@@ -77,8 +77,8 @@ def split(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     """
     found = rules(df, contract)
     broken = reduce(or_, found.values(), F.lit(False))
-    reasons = [F.when(cond, F.lit(name)) for name, cond in found.items()]
-    labels = F.array_compact(F.array(*reasons)).cast("array<string>")
+    reasons = [F.when(cond, F.lit(name)).otherwise("") for name, cond in found.items()]
+    labels = F.array_remove(F.array(*reasons).cast("array<string>"), "")
     return df.where(~broken), df.where(broken).withColumn("violations", labels)
 
 

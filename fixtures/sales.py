@@ -7,10 +7,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
+from factloom import prep, scan
+from factloom.sources.files import place
+
 # Heading, expression, raw type in DuckDB's terms. The expressions
 # read the same in Spark and in DuckDB.
 COLUMNS = (
@@ -65,20 +69,42 @@ def scratch_schema(spark: SparkSession) -> str:
     return name
 
 
-_facts: dict[tuple[str, str], tuple[str, str]] = {}
+_built: dict[tuple[str, str, str], tuple[str, str]] = {}
 _lock = Lock()
 
 
+def _build_once(
+    spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]
+) -> tuple[str, str]:
+    """A frame written as a catalog table once per application: its full name and its directory."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _built or not spark.catalog.tableExists(_built[key][0]):
+        table, path = f"{scratch_schema(spark)}.{name}", scratch(spark)
+        make().write.option("path", path).saveAsTable(table)
+        _built[key] = (table, path)
+    return _built[key]
+
+
 def sales_fact(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """The fact as a catalog table: its name and the directory of its Parquet files.
 
     The joins run once per application; every query after that starts, as the
-    real job does, from a table that is there.
+    real job does, from a table that is there and lies evenly over its files.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
     with _lock:
-        if key not in _facts or not spark.catalog.tableExists(_facts[key][0]):
-            name, path = f"{scratch_schema(spark)}.fact_sale", scratch(spark)
-            sales_source(spark, sf_dir).write.option("path", path).saveAsTable(name)
-            _facts[key] = (name, path)
-        return _facts[key]
+        return _build_once(
+            spark, sf_dir, "fact_sale", lambda: place(sales_source(spark, sf_dir), "auto")
+        )
+
+
+def planted_fact(spark: SparkSession, sf_dir: str, planted: dict[str, str]) -> DataFrame:
+    """The prepared fact with ``planted`` expressions in place of some columns, as files."""
+    fact, _ = sales_fact(spark, sf_dir)
+
+    def make() -> DataFrame:
+        prepared = prep(spark.table(fact))
+        return prepared.selectExpr(*[f"{planted.get(n, n)} AS {n}" for n in prepared.columns])
+
+    with _lock:
+        _, path = _build_once(spark, sf_dir, "planted_sale", make)
+    return scan(spark, path)

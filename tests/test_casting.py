@@ -51,6 +51,11 @@ def test_short_and_long_text_agree(spark):
 def test_numbers_to_int_truncate_or_become_null(spark):
     assert cast(spark, [3.7, -3.7, 1e20, None], "double", INT) == [3, -3, None, None]
     assert cast(spark, [7, 5000000000], "bigint", INT) == [7, None]
+    edges = [2**31 - 1, 2**31, -(2**31), -(2**31) - 1, None]
+    assert cast(spark, edges, "bigint", INT) == [2**31 - 1, None, -(2**31), None, None]
+    edges = [2147483647.9, 2147483648.0, -2147483648.9, -2147483649.0, float("nan"), float("-inf")]
+    assert cast(spark, edges, "double", INT) == [2**31 - 1, None, -(2**31), None, None, None]
+    assert cast(spark, [127.9, 128.0, -128.9, -129.0], "float", T.ByteType()) == [127, None, -128, None]
 
 
 def test_doubles_to_decimal_round_their_shortest_text_half_up(spark):
