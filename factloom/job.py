@@ -19,11 +19,17 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Prepare the files in SOURCE into TARGET.")
     parser.add_argument("paths", nargs="*", metavar="SOURCE TARGET")
     parser.add_argument("--format", default="parquet", choices=["parquet", "csv"])
-    parser.add_argument("--partitions", type=int, help="spread the rows over this many files")
+    parser.add_argument(
+        "--partitions", type=lambda text: text if text == "auto" else int(text),
+        help="spread the rows over this many files, or 'auto'",
+    )
     args = parser.parse_args(argv)
     if len(args.paths) < 2:
         raise ValueError("the source and target paths are needed")
-    spark = SparkSession.builder.appName("factloom").getOrCreate()
+    # The JVM does not compile methods above this size. A contract of many more
+    # columns would reach it in one fused method; Spark then splits it instead.
+    builder = SparkSession.builder.appName("factloom")
+    spark = builder.config("spark.sql.codegen.hugeMethodLimit", "8000").getOrCreate()
     try:
         run_prep(spark, args.paths[0], args.paths[1], args.format, partitions=args.partitions)
     finally:

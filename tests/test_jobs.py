@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import date
 from decimal import Decimal
 from pathlib import Path
@@ -14,6 +15,7 @@ from factloom import (
     Contract,
     Field,
     Substring,
+    enforce,
     prep,
     prep_stream,
     run_chain,
@@ -64,6 +66,20 @@ def test_prep_is_one_projection_without_a_shuffle(spark, tmp_path):
     assert "*(1) Project" in plan and "Batched: true" in plan and "Exchange" not in plan
 
 
+def test_generated_methods_are_small_enough_to_be_compiled(spark, tmp_path, capsys):
+    """The JVM interprets methods above 8000 bytes, several times slower."""
+    text = scan(spark, write_parquet(raw_sales(spark), str(tmp_path / "text")))
+    numbers = SALES.without("Description", "Package", "InvoiceDateKey", "DeliveryDateKey", "Desc1").names
+    doubles = [c for c in text.columns if c.replace(" ", "") in numbers]
+    typed = text.withColumns({c: F.col(f"`{c}`").cast("double") for c in doubles})
+    typed = scan(spark, write_parquet(typed, str(tmp_path / "typed")))
+    for source in (text, typed):
+        capsys.readouterr()
+        enforce(prep(source), SALES_IMPORT).explain("codegen")
+        sizes = re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)
+        assert sizes and max(map(int, sizes)) < 8000
+
+
 def test_extra_columns_stay_ahead_of_the_derived_one(spark):
     prepared = prep(raw_sales(spark).withColumn("Extra Col", F.lit(1.5)))
     assert prepared.columns == [*SALES.names[:-1], "ExtraCol", "Desc1"]
@@ -169,8 +185,10 @@ def test_args(spark, tmp_path, monkeypatch):
             job.main(argv)
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
     source = write_parquet(raw_sales(spark), str(tmp_path / "s"))
-    job.main([source, str(tmp_path / "t"), "--partitions", "1"])
-    assert scan(spark, str(tmp_path / "t")).collect() == [PREPARED]
+    for partitions in ("1", "auto"):
+        job.main([source, str(tmp_path / "t"), "--partitions", partitions])
+        assert scan(spark, str(tmp_path / "t")).collect() == [PREPARED]
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
 
 
 def test_stream_prepares_each_file_once(spark, tmp_path):
