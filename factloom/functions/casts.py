@@ -5,8 +5,8 @@ The three ways to treat a value that does not fit its target type:
 ``null``    the value becomes null (``try_cast``); the contract check then
             finds it in the columns that must not be null.
 ``fail``    the job stops at the first such value (ANSI ``cast``).
-``legacy``  the cast of Spark 3 with ANSI off: unreadable text becomes null and
-            an integer that is too large wraps around.
+``legacy``  Spark's cast with ANSI off: unreadable text becomes null and an
+            integer that is too large wraps around.
 """
 
 from __future__ import annotations
@@ -64,7 +64,7 @@ def cast_to(column: Column, source: T.DataType, target: T.DataType, on_error: st
     from_text = isinstance(source, T.StringType) and isinstance(target, T.IntegralType)
     if from_text and on_error != "legacy":
         return _text_to_integer(column, target, on_error)
-    from_wide = isinstance(source, (T.LongType, T.FloatType, T.DoubleType)) and type(target) in _NARROW
+    from_wide = isinstance(source, (T.LongType, T.DoubleType)) and type(target) in _NARROW
     if from_wide and on_error == "null":
         return _to_narrow_integer(column, target)
     return _cast(column, target, on_error)

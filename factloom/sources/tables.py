@@ -21,7 +21,8 @@ def drop(spark: SparkSession, name: str) -> bool:
     """
     if not spark.catalog.tableExists(name):
         return False
-    kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+    is_view = spark.catalog.getTable(name).tableType in ("VIEW", "TEMPORARY")
+    kind = "VIEW" if is_view else "TABLE"
     spark.sql(f"DROP {kind} IF EXISTS {name}")
     return True
 

@@ -79,6 +79,11 @@ def test_drop_of_a_managed_table_removes_it(spark, schema, source_table):
     assert drop(spark, source_table) and not drop(spark, source_table)
 
 
+def test_drop_of_a_temporary_view(spark):
+    spark.range(3).createOrReplaceTempView("some_view")
+    assert drop(spark, "some_view") and not drop(spark, "some_view")
+
+
 def test_import_has_the_declared_types_in_the_declared_order(spark, base):
     imported = import_external(spark, base)
     require_types(imported, SALES_IMPORT)
