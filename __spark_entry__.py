@@ -35,6 +35,14 @@ from factloom import (
 from fixtures import oracle
 from fixtures.sales import planted_fact, sales_fact, sales_source, scratch, scratch_schema
 
+try:
+    from factloom.llm.queries import ORACLE_SQL as LLM_SQL
+    from factloom.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError as missing:  # the subpackage may be left out
+    if not (missing.name or "").startswith(("factloom.llm", "corpus_pipeline")):
+        raise
+    LLM_SQL, LLM_QUERIES = {}, {}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -205,6 +213,7 @@ def queries() -> dict[str, Query]:
         "csv_prep": csv_prep,
         "prep_stream": stream,
         "full_chain": full_chain,
+        **LLM_QUERIES,
     }
 
 
@@ -244,4 +253,5 @@ def oracle_sql() -> dict[str, str]:
         "csv_prep": oracle.prepared(),
         "prep_stream": oracle.prepared(),
         "full_chain": oracle.imported(),
+        **LLM_SQL,
     }
