@@ -21,6 +21,8 @@ _ANSI_NEEDED = {"null": None, "fail": "true", "legacy": "false"}
 # One above the largest value of the integers narrower than a double's 53 bits.
 _NARROW = {T.ByteType: 2**7, T.ShortType: 2**15, T.IntegerType: 2**31}
 
+_DECIMALS = r"\.\d+(?=\s*$)"
+
 
 def require_mode(spark: SparkSession, on_error: str) -> None:
     if on_error not in _ANSI_NEEDED:
@@ -50,10 +52,13 @@ def _text_to_integer(text: Column, target: T.DataType, on_error: str) -> Column:
     integer (and is slow to say so), and a double loses digits of a 19-digit
     key. Up to nine bytes of text need no more than eight decimals, which fit
     the decimal that Spark keeps in one long; only what that leaves open, and
-    bad text, takes the wide decimal.
+    bad text, takes the wide decimal. Long fractions are rounded on that way, so
+    the digits after the point become one zero as text before. With an exponent
+    they stay, as its point is elsewhere: such text is read to some 15 digits.
     """
     short = text.try_cast(T.DecimalType(18, 8)).try_cast(target)
-    wide = _cast(_cast(text, T.DecimalType(38, 18), on_error), target, on_error)
+    cut = F.regexp_replace(text, _DECIMALS, ".0")
+    wide = _cast(_cast(cut, T.DecimalType(38, 18), on_error), target, on_error)
     return F.coalesce(F.when(F.octet_length(text) <= 9, short), wide)
 
 

@@ -48,6 +48,15 @@ def test_short_and_long_text_agree(spark):
     ]
 
 
+def test_text_to_integers_never_rounds(spark):
+    nines = ["0." + "9" * 19, "22." + "9" * 22, "9." + "9" * 18 + "6", "-0." + "9" * 19, "7." + "9" * 60 + " ", "1." + "9" * 20 + "x"]
+    expected = [0, 22, 9, 0, 7, None]
+    assert cast(spark, nines, "string", INT) == expected == cast(spark, nines, "string", LONG)
+    assert cast(spark, nines[:5], "string", INT, "fail") == expected[:5]
+    with pytest.raises(Exception):
+        cast(spark, nines[5:], "string", INT, "fail")
+
+
 def test_numbers_to_int_truncate_or_become_null(spark):
     assert cast(spark, [3.7, -3.7, 1e20, None], "double", INT) == [3, -3, None, None]
     assert cast(spark, [7, 5000000000], "bigint", INT) == [7, None]
