@@ -19,7 +19,6 @@ from factloom.contract import Contract, Field
 from factloom.functions.casts import cast_to
 from factloom.functions.names import column, folded, require_columns, require_distinct
 
-
 _BROKEN = "broken rule"
 
 
@@ -70,6 +69,11 @@ def check(df: DataFrame, contract: Contract) -> DataFrame:
     return df.agg(*[F.count_if(broken).alias(name) for name, broken in rules(df, contract).items()])
 
 
+def _broken_names(found: dict[str, Column]) -> Column:
+    """The names of the rules that a row breaks, with commas; empty for a good row."""
+    return F.concat_ws(",", *[F.when(broken, F.lit(name)) for name, broken in found.items()])
+
+
 def split(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     """The rows that keep every rule, and the others with a ``violations`` array.
 
@@ -77,37 +81,45 @@ def split(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     """
     found = rules(df, contract)
     broken = reduce(or_, found.values(), F.lit(False))
-    reasons = [F.when(cond, F.lit(name)).otherwise("") for name, cond in found.items()]
-    labels = F.array_remove(F.array(*reasons).cast("array<string>"), "")
-    return df.where(~broken), df.where(broken).withColumn("violations", labels)
+    rejected = df.where(broken)
+    labels = F.split(_broken_names(rules(rejected, contract)), ",")
+    return df.where(~broken), rejected.withColumn("violations", labels)
+
+
+def judged(df: DataFrame, contract: Contract, name: str) -> DataFrame:
+    """``df`` with a column ``name``: the rules a row breaks, with commas, or an empty text."""
+    require_distinct(df, [*df.columns, name])
+    return df.select("*", _broken_names(rules(df, contract)).alias(name))
 
 
 def enforce(df: DataFrame, contract: Contract) -> DataFrame:
-    """``df`` whose job stops at the first row that breaks a rule, naming the rule.
+    """``df`` whose job stops at the first row that breaks a rule, naming all the rules it breaks.
 
     Parquet tables take nulls in columns declared NOT NULL, so this is how a
-    write keeps to the contract. It is a guard around the first column, run in
-    the same pass as the write.
+    write keeps to the contract. It is a filter that raises, run in the same
+    pass as the write, and no column selection can leave it out.
     """
     found = rules(df, contract)
     if not found:
         return df
     require_distinct(df, [*df.columns, _BROKEN])
-    case = F
-    for name, broken in found.items():
-        case = case.when(broken, F.lit(name))
-    named = df.select("*", case.alias(_BROKEN))
-    first, *rest = [column(name) for name in df.columns]
+    # The partition id, of no effect here, keeps the optimizer from moving the filter below
+    # the casts, which would then be computed twice in one large method.
+    names = F.concat_ws("", _broken_names(found), F.when(F.spark_partition_id() < 0, F.lit("")))
     stop = F.raise_error(F.concat(F.lit("a row breaks the contract: "), column(_BROKEN)))
-    guarded = F.when(column(_BROKEN).isNotNull(), stop).otherwise(first)
-    return named.select(guarded.alias(df.columns[0]), *rest)
+    passes = F.when(column(_BROKEN) != "", stop.cast("boolean")).otherwise(True)
+    return df.select("*", names.alias(_BROKEN)).where(passes).select(*[column(c) for c in df.columns])
+
 
+def type_differences(df: DataFrame, contract: Contract, extras: bool = False) -> list[str]:
+    """How names, order and types differ from the contract; metadata only.
 
-def type_differences(df: DataFrame, contract: Contract) -> list[str]:
-    """How names, order and types differ from the contract; metadata only."""
+    With ``extras``, columns outside the contract may lie anywhere between its own.
+    """
     differences = []
-    if df.columns != contract.names:
-        differences.append(f"columns are {df.columns}, declared {contract.names}")
+    names = [c for c in df.columns if not extras or c in contract.names]
+    if names != contract.names:
+        differences.append(f"columns are {names}, declared {contract.names}")
     present = {f.name: f.dataType for f in df.schema.fields}
     for field in contract.fields:
         if field.name in present and present[field.name] != field.type:
@@ -118,7 +130,7 @@ def type_differences(df: DataFrame, contract: Contract) -> list[str]:
     return differences
 
 
-def require_types(df: DataFrame, contract: Contract) -> None:
-    differences = type_differences(df, contract)
+def require_types(df: DataFrame, contract: Contract, extras: bool = False) -> None:
+    differences = type_differences(df, contract, extras)
     if differences:
         raise ContractViolation("; ".join(differences))

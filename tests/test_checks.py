@@ -108,6 +108,27 @@ def test_enforce_passes_good_rows_and_names_the_broken_rule(spark):
         enforce(prep(raw_sales(spark, {}, {"Tax Rate": "x"})), SALES_IMPORT).collect()
 
 
+def test_no_column_selection_leaves_enforce_out(spark):
+    bad = enforce(prep(raw_sales(spark, {}, {"Tax Rate": "x", "Quantity": "y"})), SALES_IMPORT)
+    for use in (bad, bad.select("CityKey"), bad.where("CityKey > 0").select("SaleKey"), bad.groupBy("CityKey").count()):
+        with pytest.raises(Exception, match="Quantity_nulls,TaxRate_nulls"):
+            use.count()
+
+
+def test_enforce_of_40_columns(spark, tmp_path, capsys):
+    wide = Contract(tuple(Field(f"c{i}", T.IntegerType()) for i in range(40)))
+    frame = spark.range(3).selectExpr(*[f"CAST(id AS double) AS c{i}" for i in range(40)])
+    frame.write.parquet(str(tmp_path / "w"))
+    read = spark.read.parquet(str(tmp_path / "w"))
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    try:
+        assert enforce(read, wide).count() == 3
+        with pytest.raises(Exception, match="c7_nulls"):
+            enforce(read.withColumn("c7", F.lit(None).cast("double")), wide).count()
+    finally:
+        spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+
+
 def test_enforce_adds_no_shuffle_and_no_second_scan(spark, tmp_path):
     raw_sales(spark).write.parquet(str(tmp_path / "p"))
     plan = physical_plan(enforce(prep(spark.read.parquet(str(tmp_path / "p"))), SALES_IMPORT))
