@@ -12,25 +12,32 @@ from pyspark.sql import types as T
 
 _READ_OPTIONS: dict[str, dict[str, str]] = {
     "parquet": {},
-    "csv": {"header": "true", "sep": "|"},
+    # a file whose header differs from the others' is an error, not swapped columns
+    "csv": {"header": "true", "sep": "|", "enforceSchema": "false"},
 }
 
 
-def read_options(fmt: str) -> dict[str, str]:
+def read_options(fmt: str, multi_line: bool = False) -> dict[str, str]:
     if fmt not in _READ_OPTIONS:
         raise ValueError(f"format must be one of {sorted(_READ_OPTIONS)}, not {fmt!r}")
-    return _READ_OPTIONS[fmt]
+    return _READ_OPTIONS[fmt] | ({"multiLine": "true"} if multi_line and fmt == "csv" else {})
 
 
 def scan(
-    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    schema: T.StructType | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A directory or file of Parquet, or of pipe-delimited CSV with a header.
 
     Parquet takes its schema from a footer. CSV columns are all text, so that
-    typing is left to the contract and no pass over the data infers it.
+    typing is left to the contract and no pass over the data infers it. With
+    ``multi_line``, quoted CSV values may hold line breaks; each file is then
+    read by one task, so files should be of split size.
     """
-    reader = spark.read.format(fmt).options(**read_options(fmt))
+    reader = spark.read.format(fmt).options(**read_options(fmt, multi_line))
     return (reader.schema(schema) if schema else reader).load(path)
 
 
@@ -72,12 +79,47 @@ def _qualified(spark: SparkSession, path: str) -> str:
     return file_system.makeQualified(hadoop_path).toString().rstrip("/") + "/"
 
 
-def require_apart(spark: SparkSession, source: str, target: str) -> None:
-    """Raise when one directory is, or lies inside, the other.
+def replace_directory(
+    spark: SparkSession, source: str, target: str | None, schema: T.StructType | None = None
+) -> None:
+    """Move a directory of files to ``target`` in place of what is there; to None: delete it.
+
+    With a ``schema``, a source without files becomes a directory of no rows.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    if target is None:
+        files.delete(path(source), True)
+        return
+    if not files.exists(path(source)) and schema is not None:
+        write_parquet(spark.createDataFrame([], schema), target)
+        return
+    files.delete(path(target), True)
+    files.mkdirs(path(target).getParent())
+    if not files.rename(path(source), path(target)):
+        raise OSError(f"cannot move {source!r} to {target!r}")
+
+
+def roots(df: DataFrame) -> list[str]:
+    """The directories and files that a frame reads, with globs and views resolved."""
+    found: list[str] = []
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            paths = leaf.relation().location().rootPaths()
+            found += [paths.apply(k).toString() for k in range(paths.size())]
+    return found
+
+
+def require_apart(spark: SparkSession, source: DataFrame | str, target: str) -> None:
+    """Raise when a directory that ``source`` reads is ``target``, or one lies inside the other.
 
     An overwrite empties its target before the first row is read, so without
     this check the input would be lost.
     """
-    a, b = _qualified(spark, source), _qualified(spark, target)
-    if a.startswith(b) or b.startswith(a):
-        raise ValueError(f"cannot write {target!r} while reading {source!r}: the directories overlap")
+    b = _qualified(spark, target)
+    for held in [source] if isinstance(source, str) else roots(source):
+        a = _qualified(spark, held)
+        if a.startswith(b) or b.startswith(a):
+            raise ValueError(f"cannot write {target!r} while reading {held!r}: the directories overlap")

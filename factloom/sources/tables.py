@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from factloom.contract import SALES_IMPORT, Contract
-from factloom.functions.names import require_columns
-from factloom.sources.files import join_path, place, require_apart, scan, write_parquet
+from factloom.functions.names import folded, require_columns
+from factloom.operators.checks import ContractViolation
+from factloom.sources.files import join_path, place, require_apart, roots, scan, write_parquet
 
 
 def _quoted_path(path: str) -> str:
@@ -27,8 +31,10 @@ def drop(spark: SparkSession, name: str) -> bool:
     return True
 
 
-def _table_location(spark: SparkSession, name: str) -> str | None:
-    """Where a table's files are; None for a view."""
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """Where a table's files are; None for a view or a name that is not there."""
+    if not spark.catalog.tableExists(name):
+        return None
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
     rows = described.where(F.col("col_name") == "Location").select("data_type").take(1)
     return rows[0][0] if rows else None
@@ -48,24 +54,58 @@ def export_table(
     in place of any earlier one.
     """
     path = join_path(base, location)
-    held = _table_location(spark, table)
-    if held is not None:
-        require_apart(spark, held, path)
-    write_parquet(spark.table(table), path, partitions)
+    source = spark.table(table)
+    require_apart(spark, source, path)
+    write_parquet(source, path, partitions)
     if external is not None:
         drop(spark, external)
         spark.sql(f"CREATE TABLE {external} USING parquet LOCATION {_quoted_path(path)}")
     return path
 
 
-def _declared_columns(declared: Contract) -> list[str]:
-    return [f"CAST(`{f.name}` AS {f.type.simpleString()}) AS `{f.name}`" for f in declared.fields]
+_WIDER = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 3, T.LongType: 4}
 
 
-def as_declared(df: DataFrame, declared: Contract) -> DataFrame:
-    """The declared columns of ``df``, in the declared types and order."""
+def _may_become(present: T.DataType, declared: T.DataType) -> bool:
+    """Whether every value of one type is one of the other, unchanged."""
+    if isinstance(present, T.DecimalType) and isinstance(declared, T.DecimalType):
+        return declared.scale >= present.scale and declared.precision >= present.precision
+    if type(present) in _WIDER and type(declared) in _WIDER:
+        return _WIDER[type(declared)] >= _WIDER[type(present)]
+    return present == declared
+
+
+def _declared_columns(df: DataFrame, declared: Contract) -> list[str]:
+    """SQL for each declared column: as it is, or in a type that holds all its values.
+
+    The one case where a value may not fit is a decimal whose scale grows and whose
+    precision does not; such a value raises, whatever the session's ANSI setting.
+    """
     require_columns(df, declared.names)
-    return df.selectExpr(*_declared_columns(declared))
+    present = {folded(df, f.name): f.dataType for f in df.schema.fields}
+    columns = []
+    for f in declared.fields:
+        held, name = present[folded(df, f.name)], "`" + f.name.replace("`", "``") + "`"
+        if not _may_become(held, f.type):
+            raise ContractViolation(f"{f.name} is {held.simpleString()} in the files, which {f.type.simpleString()} cannot hold")
+        kind = f.type.simpleString()
+        if held == f.type:
+            columns.append(f"{name} AS {name}")
+        elif isinstance(held, T.DecimalType) and f.type.precision - f.type.scale < held.precision - held.scale:
+            text = f.name.replace("'", "\\'")
+            raised = f"raise_error('[NUMERIC_VALUE_OUT_OF_RANGE] {text} has a value that {kind} cannot hold')"
+            columns.append(f"CASE WHEN {name} IS NULL THEN NULL ELSE coalesce(try_cast({name} AS {kind}), CAST({raised} AS {kind})) END AS {name}")
+        else:
+            columns.append(f"CAST({name} AS {kind}) AS {name}")
+    return columns
+
+
+def as_declared(df: DataFrame, declared: Contract) -> DataFrame:
+    """The declared columns of ``df``, in the declared types and order.
+
+    Scales and integers may grow; a type that would round, cut or overflow raises.
+    """
+    return df.selectExpr(*_declared_columns(df, declared))
 
 
 def import_external(
@@ -83,21 +123,50 @@ def import_external(
     view over the files, in place of any earlier one; no data is copied.
     """
     path = join_path(base, location)
-    imported = as_declared(scan(spark, path), declared)
+    files = scan(spark, path)
+    imported = as_declared(files, declared)
     if name is None:
         return imported
     drop(spark, name)
-    columns, quoted = ", ".join(_declared_columns(declared)), path.replace("`", "``")
+    columns, quoted = ", ".join(_declared_columns(files, declared)), path.replace("`", "``")
     spark.sql(f"CREATE VIEW {name} AS SELECT {columns} FROM parquet.`{quoted}`")
     return spark.table(name)
 
 
+def _default_place(spark: SparkSession, name: str):
+    """The directory of a managed table of this name, and its file system."""
+    state = spark._jsparkSession.sessionState()
+    path = spark._jvm.org.apache.hadoop.fs.Path(
+        state.catalog().defaultTablePath(state.sqlParser().parseTableIdentifier(name)))
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def load_table(df: DataFrame, name: str, partitions: int | str | None = None) -> str:
     """Replace the managed table ``name`` by ``df``; return the name.
 
     The table is a heap: no buckets, no sort order, no partition columns. Rows
     are spread without regard to their values; see ``place`` for ``partitions``.
+
+    The rows are written as a table of another name first; only when that is whole is
+    the old table dropped and the new one renamed, so a load that fails leaves the old
+    table as it was. Files that lie in the default directory of ``name`` while no table
+    has that name are what a broken-off load left; they are deleted just before the rename.
     """
-    writer = place(df, partitions).write.mode("overwrite").format("parquet")
-    writer.option("compression", "snappy").saveAsTable(name)
+    spark = df.sparkSession
+    held = table_location(spark, name)
+    if held is not None and any(r.rstrip("/") == held.rstrip("/") for r in roots(df)):
+        raise ValueError(f"[UNSUPPORTED_OVERWRITE] {name} cannot be replaced by rows read from it")
+    staged = f"{name}__loading_{uuid.uuid4().hex[:8]}"
+    writer = place(df, partitions).write.mode("error").format("parquet").option("compression", "snappy")
+    try:
+        writer.saveAsTable(staged)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        path, files = _default_place(spark, staged)
+        files.delete(path, True)
+        raise
+    drop(spark, name)
+    path, files = _default_place(spark, name)
+    files.delete(path, True)
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
     return name

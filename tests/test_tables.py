@@ -16,7 +16,7 @@ from factloom import (
     scan,
     write_parquet,
 )
-from factloom.operators.checks import require_types
+from factloom.operators.checks import ContractViolation, require_types
 from factloom.sources.files import place
 from tests.samples import physical_plan, planted, raw_sales
 
@@ -139,6 +139,45 @@ def test_loaded_table_is_a_managed_parquet_heap(spark, schema):
     assert parquet_files(described["Location"].removeprefix("file:")) == 3
 
 
+def test_a_load_that_fails_leaves_the_old_table(spark, schema, tmp_path):
+    name = f"{schema}.kept"
+    load_table(spark.range(4), name)
+    with pytest.raises(Exception):
+        load_table(spark.range(4).selectExpr("raise_error('no') AS id"), name)
+    assert spark.table(name).count() == 4
+    assert [t.name for t in spark.catalog.listTables(schema) if not t.isTemporary] == ["kept"]
+
+
+def test_files_of_a_broken_off_load_do_not_stop_the_next(spark, schema):
+    name = f"{schema}.again"
+    load_table(spark.range(4), name)
+    held = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first().data_type
+    spark.sql(f"DROP TABLE {name}")
+    spark.range(9).write.parquet(held)
+    assert spark.table(load_table(spark.range(5), name)).count() == 5
+
+
+def test_export_of_a_view_over_the_target_is_refused(spark, schema, base):
+    import_external(spark, base, name=f"{schema}.view")
+    before = parquet_files(f"{base}/prepared")
+    for location in ("prepared", ""):
+        with pytest.raises(ValueError, match="overlap"):
+            export_table(spark, f"{schema}.view", base, location)
+    assert parquet_files(f"{base}/prepared") == before
+
+
+def test_import_never_rounds(spark, tmp_path):
+    write_parquet(prep(raw_sales(spark)).withColumn("TaxRate", F.expr("CAST(14.37599 AS decimal(18,5))")), str(tmp_path / "prepared"))
+    with pytest.raises(ContractViolation, match="TaxRate"):
+        import_external(spark, str(tmp_path))
+
+
+def test_import_of_a_value_too_large_fails_without_ansi_too(spark, tmp_path, ansi_off):
+    write_parquet(planted(prep(raw_sales(spark)), TaxRate="9999999999999999.99"), str(tmp_path / "prepared"))
+    with pytest.raises(Exception, match="TaxRate"):
+        import_external(spark, str(tmp_path)).collect()
+
+
 def test_loading_a_table_into_itself_is_refused(spark, schema, source_table):
     with pytest.raises(Exception, match="UNSUPPORTED_OVERWRITE"):
         load_table(spark.table(source_table), source_table)
