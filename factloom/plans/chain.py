@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from factloom.contract import SALES, SALES_IMPORT, Contract
-from factloom.operators.checks import require_types, split
+from factloom.operators.checks import require_types
+from factloom.plans.compiling import compiled_methods
 from factloom.plans.prep import DESC1, Substring, run_prep
-from factloom.sources.files import join_path, scan, write_parquet
-from factloom.sources.tables import as_declared, export_table, import_external, load_table
+from factloom.sources.files import join_path, require_apart, scan
+from factloom.sources.tables import export_table, import_external, load_table, table_location
 
 
 def run_chain(
@@ -25,6 +26,10 @@ def run_chain(
     on_violation: str = "fail",
     partitions: int | str | None = None,
     imported_as: str | None = None,
+    exported_as: str | None = None,
+    export_location: str = "export",
+    prepared_location: str = "prepared",
+    rejected_location: str = "rejected",
 ) -> str:
     """Run the four steps in order; return the loaded table's name.
 
@@ -33,25 +38,33 @@ def run_chain(
     step can be run again from the files before it. An error stops the chain.
 
     ``partitions`` spreads the rows of the loaded table; see ``place``.
+    ``exported_as`` and ``imported_as`` name catalog entries over the files.
 
     No row that breaks the ``declared`` contract is loaded. With
     ``on_violation="fail"`` the first one stops the chain while the prepared
-    files are written, before the target is touched; with ``"split"`` all of
-    them are written with their reasons to ``base``/rejected, and the other
-    rows are loaded.
+    files are written, before the target is touched; with ``"split"`` the same
+    pass writes such rows, with the rules they break, to ``base``/rejected, and
+    only the others are loaded.
     """
     if on_violation not in ("fail", "split"):
         raise ValueError(f"on_violation must be 'fail' or 'split', not {on_violation!r}")
-    exported = export_table(spark, source_table, base)
+    held = table_location(spark, target_table)
+    if held is not None:
+        require_apart(spark, held, base)  # replacing the target would delete the steps' files
+    exported = export_table(spark, source_table, base, export_location, external=exported_as)
+    prepared = join_path(base, prepared_location)
     run_prep(
-        spark, exported, join_path(base, "prepared"),
-        contract=contract, derive=derive, on_error=on_error,
-        declared=declared if on_violation == "fail" else None,
+        spark, exported, prepared, contract=contract, derive=derive, on_error=on_error, declared=declared,
+        rejects=join_path(base, rejected_location) if on_violation == "split" else None,
     )
-    loadable = import_external(spark, base, declared=declared, name=imported_as)
-    require_types(loadable, declared)
-    if on_violation == "split":
-        accepted, rejected = split(scan(spark, join_path(base, "prepared")), declared)
-        write_parquet(rejected, join_path(base, "rejected"))
-        loadable = as_declared(accepted, declared)
-    return load_table(loadable, target_table, partitions)
+    # the files' own schema: after the import every column has its declared type
+    require_types(scan(spark, prepared), _as_prepared(contract, declared), extras=True)
+    loadable = import_external(spark, base, prepared_location, declared=declared, name=imported_as)
+    with compiled_methods(spark):
+        return load_table(loadable, target_table, partitions)
+
+
+def _as_prepared(contract: Contract, declared: Contract) -> Contract:
+    """The declared columns with the types that preparation gives them."""
+    types = {f.name: f.type for f in contract.fields}
+    return declared.retyped(**{n: types[n] for n in declared.names if n in types})

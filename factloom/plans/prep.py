@@ -6,14 +6,18 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from factloom.contract import SALES, Contract
-from factloom.functions.names import require_columns
+from factloom.functions.names import require_columns, require_distinct
 from factloom.operators.casting import cast_columns
-from factloom.operators.checks import enforce
+from factloom.operators.checks import enforce, judged
 from factloom.operators.deriving import derive_substring
 from factloom.operators.headings import strip_headings
-from factloom.sources.files import require_apart, scan, write_parquet
+from factloom.plans.compiling import compiled_methods, writers_side_by_side
+from factloom.sources.files import place, replace_directory, require_apart, scan, write_parquet
+
+_KIND = "judged_as"
 
 
 class Substring(NamedTuple):
@@ -59,14 +63,38 @@ def run_prep(
     on_error: str = "null",
     partitions: int | str | None = None,
     declared: Contract | None = None,
+    rejects: str | None = None,
+    multi_line: bool = False,
 ) -> str:
     """Prepare the files in ``source`` into Parquet in ``target``, replacing what is there.
 
-    With ``declared``, the first row that breaks that contract stops the job.
-    Returns ``target``.
+    With ``declared``, the first row that breaks that contract stops the job; with
+    ``rejects`` too, such rows are written there with the rules they break, in a column
+    ``violations``, and the job goes on. Both outputs come from one pass over the
+    source: it writes one directory for each kind, and their files are then moved.
+    ``multi_line`` lets quoted CSV values hold line breaks. Returns ``target``.
     """
-    require_apart(spark, source, target)
-    prepared = prep(scan(spark, source, fmt), contract, derive, on_error)
-    if declared is not None:
-        prepared = enforce(prepared, declared)
-    return write_parquet(prepared, target, partitions)
+    files = scan(spark, source, fmt, multi_line=multi_line)
+    require_apart(spark, files, target)
+    prepared = prep(files, contract, derive, on_error)
+    with compiled_methods(spark):
+        if declared is None or rejects is None:
+            return write_parquet(prepared if declared is None else enforce(prepared, declared), target, partitions)
+        require_apart(spark, files, rejects)
+        return _write_both(spark, judged(prepared, declared, "violations"), target, rejects, partitions)
+
+
+def _write_both(
+    spark: SparkSession, rows: DataFrame, target: str, rejects: str, partitions: int | str | None
+) -> str:
+    """Rows without violations to ``target``, the others to ``rejects``, in one write."""
+    require_distinct(rows, [*rows.columns, _KIND])
+    both = f"{target.rstrip('/')}__judged"
+    kind = F.when(F.col("violations") == "", "accepted").otherwise("rejected")
+    with writers_side_by_side(spark, 2):
+        place(rows.withColumn(_KIND, kind), partitions).write.mode("overwrite").partitionBy(_KIND).option(
+            "compression", "snappy").parquet(both)
+    for name, place_of in (("accepted", target), ("rejected", rejects)):
+        replace_directory(spark, f"{both}/{_KIND}={name}", place_of, rows.schema)
+    replace_directory(spark, both, None)
+    return target

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from factloom.contract import SALES, Contract
+from factloom.operators.checks import enforce
 from factloom.plans.prep import DESC1, Substring, prep
 from factloom.sources.files import read_options, require_apart
 
@@ -23,15 +24,20 @@ def prep_stream(
     contract: Contract = SALES,
     derive: Sequence[Substring] = DESC1,
     on_error: str = "null",
+    declared: Contract | None = None,
 ) -> StreamingQuery:
     """Start preparing every file not yet seen in ``source`` into Parquet in ``target``.
 
     The step keeps no state between rows, so there is no watermark. Which files
     are done is kept in ``checkpoint``, which must be on shared storage; the
     query ends once all present files are done, and a later one goes on there.
+    With ``declared``, the first row that breaks that contract stops the query.
     """
     require_apart(spark, source, target)
     arriving = spark.readStream.format(fmt).options(**read_options(fmt)).schema(schema).load(source)
-    writer = prep(arriving, contract, derive, on_error).writeStream.format("parquet")
+    prepared = prep(arriving, contract, derive, on_error)
+    if declared is not None:
+        prepared = enforce(prepared, declared)
+    writer = prepared.writeStream.format("parquet")
     writer = writer.option("path", target).option("checkpointLocation", checkpoint)
     return writer.option("compression", "snappy").trigger(availableNow=True).start()
