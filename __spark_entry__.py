@@ -10,6 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
 from factloom import (
@@ -20,6 +21,7 @@ from factloom import (
     cast_columns,
     check,
     derive_substring,
+    drop,
     export_table,
     import_external,
     load_table,
@@ -32,6 +34,8 @@ from factloom import (
     strip_headings,
     write_parquet,
 )
+from factloom import job
+from factloom.operators.checks import require_types
 from fixtures import oracle
 from fixtures.sales import planted_fact, sales_fact, sales_source, scratch, scratch_schema
 
@@ -46,6 +50,16 @@ except ModuleNotFoundError as missing:  # the subpackage may be left out
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Text with 0, 2, 18, 19 and 25 decimals, nines throughout, and text that is no number; the same in both dialects.
+_TEXT = (
+    "concat(CAST(l_orderkey AS varchar(20)), CASE l_linenumber % 7 WHEN 0 THEN '' WHEN 1 THEN '.99'"
+    " WHEN 2 THEN concat('.', repeat('9', 18)) WHEN 3 THEN concat('.', repeat('9', 19))"
+    " WHEN 4 THEN concat('.', repeat('9', 25)) WHEN 5 THEN concat('.', repeat('9', 25), 'x') ELSE '000000000.5' END)"
+)
+#: The digits before the point, in DuckDB; null for what is no number.
+_WHOLE = "CASE WHEN regexp_full_match(t, '[0-9]+([.][0-9]*)?') THEN split_part(t, '.', 1) END"
+
+
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(sales_fact(spark, sf_dir)[0])
 
@@ -161,7 +175,66 @@ def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark, target)
 
 
-def full_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+def files_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each file of a write over three partitions."""
+    orders = scan(spark, f"{sf_dir}/orders.parquet")
+    written = scan(spark, write_parquet(orders, scratch(spark), partitions=3))
+    counts = written.groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
+    even = F.abs(F.col("n") - F.sum("n").over(W.partitionBy()) / 3) <= 3
+    return counts.select("n", even.alias("even")).agg(
+        F.count("*").alias("files"), F.sum("n").alias("row_count"), F.min("even").alias("even"))
+
+
+def drop_recreate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An external table dropped and declared anew over other files; the first files stay."""
+    table, _ = sales_fact(spark, sf_dir)
+    base, name = scratch(spark), f"{scratch_schema(spark)}.ext_fact_sale"
+    first = export_table(spark, table, base, "first", external=name)
+    if not drop(spark, name) or drop(spark, name) or spark.catalog.tableExists(name):
+        raise RuntimeError("the table was not dropped")
+    write_parquet(scan(spark, first).limit(0), f"{base}/empty")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{base}/empty'")
+    export_table(spark, table, base, "second", external=name)
+    return spark.table(name).unionByName(scan(spark, first))
+
+
+def load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second load takes the place of the first."""
+    name = f"{scratch_schema(spark)}.fact_sale_loaded"
+    prepared = prep(_fact(spark, sf_dir))
+    load_table(prepared.select("SaleKey"), name)
+    return spark.table(load_table(prepared, name))
+
+
+def contract_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Name, place and type of each column of a prepared write of the whole fact."""
+    files = scan(spark, write_parquet(prep(_fact(spark, sf_dir)), scratch(spark)))
+    require_types(files, SALES)
+    rows = files.count()
+    return spark.createDataFrame(
+        [(n, f.name, f.dataType.simpleString(), rows) for n, f in enumerate(files.schema.fields, 1)],
+        "position long, name string, type string, row_count long")
+
+
+def command_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, files = sales_fact(spark, sf_dir)
+    target = scratch(spark)
+    job.main(["prep", files, target, "--enforce"], spark)
+    return scan(spark, target)
+
+
+def chain_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain over a fact with broken rows: the loaded rows, and the rejected ones with their rules."""
+    schema, base = scratch_schema(spark), scratch(spark)
+    broken = _fact(spark, sf_dir).withColumn("Quantity", F.expr("nullif(Quantity, 50)"))
+    broken = broken.withColumn("Package", F.expr("CASE WHEN Package = 'SMALL' THEN repeat(Package, 11) ELSE Package END"))
+    broken.createOrReplaceTempView("broken_fact_sale")
+    loaded = run_chain(spark, "broken_fact_sale", base, f"{schema}.loaded", on_violation="split")
+    rejected = scan(spark, f"{base}/rejected").withColumn("TaxRate", F.col("TaxRate").cast(SALES_IMPORT.schema()["TaxRate"].dataType))
+    return spark.table(loaded).withColumn("violations", F.lit("")).unionByName(rejected)
+
+
+def full_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, _ = sales_fact(spark, sf_dir)
     schema = scratch_schema(spark)
     loaded = run_chain(
@@ -212,7 +285,16 @@ def queries() -> dict[str, Query]:
         "prep_job": prep_job,
         "csv_prep": csv_prep,
         "prep_stream": stream,
-        "full_chain": full_chain,
+        "cast_text": _cast_query(
+            "lineitem", "l_orderkey", i=(_TEXT, T.IntegerType()), b=(_TEXT, T.LongType()),
+        ),
+        "files_written": files_written,
+        "drop_recreate": drop_recreate,
+        "load_twice": load_twice,
+        "contract_types": contract_types,
+        "command_line": command_line,
+        "chain_split": chain_split,
+        "full_pipeline": full_pipeline,
         **LLM_QUERIES,
     }
 
@@ -252,6 +334,16 @@ def oracle_sql() -> dict[str, str]:
         "prep_job": oracle.prepared(),
         "csv_prep": oracle.prepared(),
         "prep_stream": oracle.prepared(),
-        "full_chain": oracle.imported(),
+        "cast_text": (
+            f"SELECT l_orderkey, try_cast({_WHOLE} AS int) AS i, try_cast({_WHOLE} AS bigint) AS b"
+            f" FROM (SELECT l_orderkey, {_TEXT} AS t FROM lineitem)"
+        ),
+        "files_written": "SELECT CAST(3 AS bigint) AS files, count(*) AS row_count, true AS even FROM orders",
+        "drop_recreate": f"{oracle.source(spaced=True)} UNION ALL {oracle.source(spaced=True)}",
+        "load_twice": oracle.prepared(),
+        "contract_types": oracle.prepared_types(),
+        "command_line": oracle.prepared(),
+        "chain_split": oracle.chain_split(),
+        "full_pipeline": oracle.imported(),
         **LLM_SQL,
     }

@@ -136,3 +136,23 @@ def rejected() -> str:
 def accepted() -> str:
     broken = " OR ".join(f"({cond})" for cond in _rules().values())
     return f"SELECT * FROM ({planted()}) WHERE NOT ({broken})"
+
+
+def prepared_types() -> str:
+    kinds = {"int": "int", "varchar": "string"}
+    values = ", ".join(
+        f"({n}, '{name}', '{kinds.get(kind, kind)}')" for n, (name, kind) in enumerate((*TARGETS, ("Desc1", "varchar")), 1))
+    return (
+        "SELECT CAST(position AS bigint) AS position, name, type, row_count"
+        f" FROM (VALUES {values}) AS v(position, name, type), (SELECT count(*) AS row_count FROM ({prepared()}))"
+    )
+
+
+def chain_split() -> str:
+    broken = (
+        "SELECT * REPLACE (nullif(Quantity, 50) AS Quantity,"
+        f" CASE WHEN Package = 'SMALL' THEN repeat(Package, 11) ELSE Package END AS Package) FROM ({imported()})"
+    )
+    rules = _rules()
+    reasons = ", ".join(f"CASE WHEN {rules[n]} THEN '{n}' END" for n in ("Package_too_long", "Quantity_nulls"))
+    return f"SELECT *, concat_ws(',', {reasons}) AS violations FROM ({broken})"

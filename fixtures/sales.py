@@ -5,6 +5,7 @@ Input for the queries, the benchmark and the tests; not part of the package.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -58,6 +59,8 @@ def scratch(spark: SparkSession) -> str:
     """A path not used before, in the folder that the session's cluster shares."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="factloom-")
     return f"{shared.rstrip('/')}/factloom-{uuid.uuid4().hex}"
 
@@ -106,5 +109,6 @@ def planted_fact(spark: SparkSession, sf_dir: str, planted: dict[str, str]) -> D
         return prepared.selectExpr(*[f"{planted.get(n, n)} AS {n}" for n in prepared.columns])
 
     with _lock:
-        _, path = _build_once(spark, sf_dir, "planted_sale", make)
+        name = "planted_" + hashlib.sha256(repr(sorted(planted.items())).encode()).hexdigest()[:12]
+        _, path = _build_once(spark, sf_dir, name, make)
     return scan(spark, path)
