@@ -79,7 +79,11 @@ def run_prep(
     prepared = prep(files, contract, derive, on_error)
     with compiled_methods(spark):
         if declared is None or rejects is None:
-            return write_parquet(prepared if declared is None else enforce(prepared, declared), target, partitions)
+            # beside the target first, so that what is there stays until the new files are whole
+            whole = write_parquet(
+                prepared if declared is None else enforce(prepared, declared), f"{target.rstrip('/')}__writing", partitions)
+            replace_directory(spark, whole, target)
+            return target
         require_apart(spark, files, rejects)
         return _write_both(spark, judged(prepared, declared, "violations"), target, rejects, partitions)
 

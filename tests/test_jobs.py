@@ -219,6 +219,14 @@ def test_split_reads_the_export_once_and_loads_only_accepted_rows(spark, chain,
     assert scan(spark, str(tmp_path / "rejected")).count() == 0
 
 
+def test_a_prepared_directory_stays_until_the_new_one_is_whole(spark, tmp_path):
+    good, bad = (write_parquet(raw_sales(spark, c), str(tmp_path / n)) for n, c in (("g", {}), ("b", {"Quantity": "many"})))
+    target = run_prep(spark, good, str(tmp_path / "t"), declared=SALES_IMPORT)
+    with pytest.raises(Exception, match="Quantity_nulls"):
+        run_prep(spark, bad, target, declared=SALES_IMPORT)
+    assert scan(spark, target).count() == 1
+
+
 def test_the_targets_directory_may_not_hold_the_base(spark, schema, tmp_path):
     raw_sales(spark).write.saveAsTable(f"{schema}.fact")
     spark.range(1).write.saveAsTable(f"{schema}.done")
