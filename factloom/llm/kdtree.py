@@ -46,7 +46,7 @@ def _of_node(values: dict[int, object], otherwise: object, kind: str) -> Column:
     return F.coalesce(F.get(F.array(*each), F.col("node")), F.lit(otherwise).cast(kind)) if each else F.lit(otherwise).cast(kind)
 
 
-def _medians(rows: DataFrame, shares: dict[int, float], weights: dict[int, int]) -> dict[int, tuple[int, int, bool]]:
+def _medians(rows: DataFrame, shares: dict[int, float], weights: dict[int, int]) -> dict[int, int]:
     """For each node the key below which ``shares`` of its weight lies."""
     need = {n: shares[n] * weights[n] for n in shares}
     low = dict.fromkeys(shares, 0)  # first key of the cell that holds the median

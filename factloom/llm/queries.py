@@ -113,6 +113,19 @@ ORACLE_SQL: dict[str, str] = {
                    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS int) AS rank, vec_id, score
         FROM scores QUALIFY rank <= 20""",
+    "op8_substring_dedup": """
+        WITH docs AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+                                                 lambda w: w <> '') AS words FROM documents),
+        windows AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS passage
+                    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM docs)),
+        firsts AS (SELECT passage, min(doc_id) AS first_doc FROM windows GROUP BY passage),
+        gone AS (SELECT DISTINCT doc_id, i + unnest(range(0, 13)) AS place
+                 FROM windows JOIN firsts USING (passage) WHERE first_doc < doc_id),
+        places AS (SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id)
+        SELECT doc_id, CAST(len(words) AS bigint) AS n_words, CAST(coalesce(len(places), 0) AS bigint) AS n_removed,
+               sha256(array_to_string(CASE WHEN places IS NULL THEN words
+                   ELSE list_filter(words, lambda w, i: NOT list_contains(places, i)) END, ' ')) AS kept_sha256
+        FROM docs LEFT JOIN places USING (doc_id)""",
     "op9_url_filter": f"""
         WITH rules(rule_host, rule_path, action) AS (VALUES {', '.join(str(r) for r in RULES)}),
         parts AS (SELECT page_id, translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), ''),
