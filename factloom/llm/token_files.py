@@ -10,8 +10,8 @@ add the base. The folder must be a file system that every executor mounts.
 A task writes under a name of its own and renames at the end, so a task that runs again
 leaves whole files. Partitions are ranges of doc_id of about equal numbers of ids; rows
 with one doc_id lie together, in the order of their text's hash. A null text is an empty
-one and has only the end id; a null doc_id is not allowed, as nothing orders it; an empty
-table writes no files; other columns of the input are not read.
+one and has only the end id; rows with a null doc_id come before all others, in files of
+their own; an empty table writes no files; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from __future__ import annotations
 import json
 import os
 import re
-import unicodedata
 import uuid
 import zlib
 from array import array
@@ -37,11 +36,14 @@ from pyspark.sql import functions as F
 from factloom.llm.store import new_path, partitions_for, stored
 
 #: Words that a Python worker remembers.
-CACHED = 1_000_000
+CACHED = 700_000
 #: Ids of one file.
 IDS_PER_FILE = 64 << 20
 #: Vocabulary files of up to this many ids use 16 bits.
 NARROW = 1 << 16
+#: The part of rows without a doc_id.
+NO_ID = -1
+_ENDS = (".bin", ".off", ".doc")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
@@ -122,22 +124,30 @@ def _tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """(doc_id, order, n, kind, ids): each text's ids with ``end_id`` after them, as bytes."""
+def encoded(docs: DataFrame, path: str, end_id: int, bounds: list[int]) -> DataFrame:
+    """(part, doc_id, order, n, kind, ids): each text's ids with ``end_id`` after them, as bytes.
+
+    ``part`` is the number of ``bounds`` up to doc_id, or NO_ID.
+    """
+    limits = np.array(bounds, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path)
         end = np.array([end_id], tokenizer.kind).tobytes()
+        width = len(end)
         for batch in batches:
+            numbers = pc.fill_null(batch.column("doc_id"), 0).to_numpy()
+            parts = np.searchsorted(limits, numbers, side="right")
+            parts[~pc.is_valid(batch.column("doc_id")).to_numpy(zero_copy_only=False)] = NO_ID
             ids = [x + end for x in tokenizer.encode(batch.column("text"))]
-            width = len(end)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("order"), pa.array([len(x) // width for x in ids], pa.int64()),
+                [pa.array(parts, pa.int64()), batch.column("doc_id"), batch.column("order"),
+                 pa.array([len(x) // width for x in ids], pa.int64()),
                  pa.array([tokenizer.kind] * len(ids)), pa.array(ids, pa.binary())],
-                ["doc_id", "order", "n", "kind", "ids"])
+                ["part", "doc_id", "order", "n", "kind", "ids"])
 
     rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("order"), "text")
-    return rows.mapInArrow(run, "doc_id long, order long, n long, kind string, ids binary")
+    return rows.mapInArrow(run, "part long, doc_id long, order long, n long, kind string, ids binary")
 
 
 def local_folder(path: str) -> str:
@@ -147,42 +157,70 @@ def local_folder(path: str) -> str:
     return parts.path
 
 
+class _Files:
+    """The three files of one part, under names of their own until they are whole."""
+
+    def __init__(self, place: str, part: int) -> None:
+        self.part, self.name = part, "part-none" if part == NO_ID else f"part-{part:06d}"
+        self._place, self._own = place, f"{place}/.{self.name}-{uuid.uuid4().hex}"
+        os.makedirs(place, exist_ok=True)
+        self._ids, self._offsets, self._docs = (open(self._own + end, "wb") for end in _ENDS)  # noqa: SIM115
+        self._offsets.write(np.zeros(1, "<i8").tobytes())
+        self.docs = self.ids = 0
+        self.kind = ""
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        counts = rows.column("n").to_numpy()
+        self._offsets.write((self.ids + np.cumsum(counts)).astype("<i8").tobytes())
+        self._docs.write(pc.fill_null(rows.column("doc_id"), 0).to_numpy().astype("<i8").tobytes())
+        for value in rows.column("ids"):
+            self._ids.write(value.as_buffer())
+        self.docs += rows.num_rows
+        self.ids += int(counts.sum())
+        self.kind = rows.column("kind")[0].as_py()
+
+    def done(self) -> pa.RecordBatch:
+        for file, end in zip((self._ids, self._offsets, self._docs), _ENDS, strict=True):
+            file.close()
+            os.replace(self._own + end, f"{self._place}/{self.name}{end}")
+        return pa.RecordBatch.from_pydict(
+            {"part": [self.part], "docs": [self.docs], "ids": [self.ids], "kind": [self.kind], "name": [self.name]})
+
+
+def _writing(place: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = None
+        for batch in batches:
+            parts = batch.column("part").to_numpy()
+            cuts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1], True]) if len(parts) else np.zeros(1, np.int64)
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if files is None or files.part != parts[a]:
+                    if files is not None:
+                        yield files.done()
+                    files = _Files(place, int(parts[a]))
+                files.add(batch.slice(a, b - a))
+        if files is not None:
+            yield files.done()
+
+    return run
+
+
 def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int) -> DataFrame:
     """Writes the files; returns the table (part, docs, ids, base, kind, name)."""
     place = local_folder(folder)
-    rows = stored(encoded(docs, path, end_id), "token-ids")
-    total = rows.agg(F.sum("n").alias("ids")).first()["ids"] or 0
-    files = max(partitions_for(total, IDS_PER_FILE), min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), partitions_for(total, 1 << 20)))
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        name = f"part-{part:06d}"
-        own = f"{place}/.{name}-{uuid.uuid4().hex}"
-        os.makedirs(place, exist_ok=True)
-        n_docs = n_ids = 0
-        kind = ""
-        with open(own + ".bin", "wb") as ids, open(own + ".off", "wb") as offsets, open(own + ".doc", "wb") as doc_ids:
-            offsets.write(np.zeros(1, "<i8").tobytes())
-            for batch in batches:
-                if batch.num_rows:
-                    counts = batch.column("n").to_numpy()
-                    offsets.write((n_ids + np.cumsum(counts)).astype("<i8").tobytes())
-                    doc_ids.write(batch.column("doc_id").to_numpy(zero_copy_only=False).astype("<i8").tobytes())
-                    for value in batch.column("ids"):
-                        ids.write(value.as_buffer())
-                    n_docs += batch.num_rows
-                    n_ids += int(counts.sum())
-                    kind = batch.column("kind")[0].as_py()
-        for end in (".bin", ".off", ".doc"):
-            os.replace(own + end, f"{place}/{name}{end}")
-        yield pa.RecordBatch.from_pydict({"part": [part], "docs": [n_docs], "ids": [n_ids], "kind": [kind], "name": [name]})
-
-    ordered = rows.repartitionByRange(files, "doc_id", "order").sortWithinPartitions("doc_id", "order")
-    parts = stored(ordered.mapInArrow(write, "part long, docs long, ids long, kind string, name string"), "token-parts")
+    size = docs.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
+    # an id stands for some two bytes of text or more
+    files = max(partitions_for(size, 2 * IDS_PER_FILE), min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), partitions_for(size, 1 << 22)))
+    bounds: list[int] = []
+    if files > 1:  # one number for each file
+        shares = [n / files for n in range(1, files)]
+        found = docs.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * files))).first()[0]
+        bounds = sorted(set(found or []))
+    rows = encoded(docs, path, end_id, bounds)
+    ordered = rows.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", "doc_id", "order")
+    parts = stored(ordered.mapInArrow(_writing(place), "part long, docs long, ids long, kind string, name string"), "token-parts")
     # one row for each file
-    return parts.selectExpr("part", "docs", "ids", "sum(ids) OVER (ORDER BY part) - ids AS base", "kind", "name").where("docs > 0")
+    return parts.selectExpr("part", "docs", "ids", "sum(ids) OVER (ORDER BY part) - ids AS base", "kind", "name")
 
 
 def read_token_files(bases: DataFrame, folder: str) -> DataFrame:
@@ -198,7 +236,10 @@ def read_token_files(bases: DataFrame, folder: str) -> DataFrame:
                 for at in range(0, len(doc_ids), 10_000):
                     cut = offsets[at : at + 10_001]
                     sums = [zlib.crc32(ids[i:j].astype("<u4").tobytes()) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-                    yield pd.DataFrame({"doc_id": doc_ids[at : at + 10_000], "start": cut[:-1] + r.base,
+                    ids_of = pd.array(doc_ids[at : at + 10_000], "Int64")
+                    if r.part == NO_ID:
+                        ids_of[:] = pd.NA
+                    yield pd.DataFrame({"doc_id": ids_of, "start": cut[:-1] + r.base,
                                         "n_tokens": np.diff(cut), "ids_crc32": np.array(sums, np.int64)})
 
     n = int(bases.sparkSession.conf.get("spark.sql.shuffle.partitions"))
