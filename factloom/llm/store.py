@@ -53,10 +53,16 @@ def partitions_for(rows: int, each: int) -> int:
 
 
 _shipped: set[str] = set()
+#: Spark's default for the rows of a batch, and ours; a value that the session has set itself stays.
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000")}
 
 
 def shipped(spark: SparkSession) -> None:
-    """Gives Python workers this package, once per application, where they cannot import it themselves."""
+    """Gives Python workers this package, where they cannot import it themselves, and batches of a fit size."""
+    # smaller batches to Python: texts may be long, and each executor has a worker for every core
+    for key, value in ARROW_BATCH.items():
+        if spark.conf.get(key, value[0]) == value[0]:
+            spark.conf.set(key, value[1])
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

@@ -40,9 +40,9 @@ from factloom.llm.store import partitions_for, stored
 WINDOW = 13
 GRAM = 4
 _SPAN = WINDOW - GRAM + 1  # grams of a window
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 3 << 20
 #: Text for one bucket of anchors, one group of documents, one shard of segments.
-BUCKET_BYTES, GROUP_BYTES, SHARD_BYTES = 64 << 20, 8 << 20, 16 << 20
+BUCKET_BYTES, GROUP_BYTES, SHARD_BYTES = 48 << 20, 6 << 20, 12 << 20
 #: Anchors with more occurrences have their windows dealt one by one. There are at most
 #: as many of these as MOST_HOT, which bounds what is broadcast.
 HOT, MOST_HOT = 20_000, 1_000_000
