@@ -32,7 +32,7 @@ from factloom.llm.store import partitions_for, stored
 
 SCALE = 64.0
 #: Bounds: sampled vectors for the centres, centres, points of a block, queries of a block, points of a leaf.
-SAMPLE, MOST_CELLS, BLOCK, QUERIES, LEAF = 4096, 512, 4096, 512, 64
+SAMPLE, MOST_CELLS, BLOCK, QUERIES, LEAF = 4096, 512, 4096, 512, 512
 _EXACT = 2.0**52
 
 
