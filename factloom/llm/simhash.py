@@ -41,20 +41,26 @@ ENTRIES_PER_TASK = 400_000
 _CHUNK = 1 << 16
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """The 64-bit SimHash of a text's word shingles, repeats included, as a signed integer."""
+def shingles(text: str | None, words: int) -> list[bytes]:
+    """The word shingles of a text, repeats included; none of a text without words."""
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return 0
+        return []
     joined = b" ".join(parts)
     if len(parts) <= words:
-        shingles = [joined]
-    else:
-        ends = np.cumsum([len(p) + 1 for p in parts])
-        starts = [0, *ends[: len(parts) - words].tolist()]
-        shingles = [joined[i:j] for i, j in zip(starts, (ends[words - 1 :] - 1).tolist(), strict=True)]
+        return [joined]
+    ends = np.cumsum([len(p) + 1 for p in parts])
+    starts = [0, *ends[: len(parts) - words].tolist()]
+    return [joined[i:j] for i, j in zip(starts, (ends[words - 1 :] - 1).tolist(), strict=True)]
+
+
+def fingerprint(text: str | None, words: int = 3) -> int:
+    """The 64-bit SimHash of a text's word shingles, repeats included, as a signed integer."""
+    pieces = shingles(text, words)
+    if not pieces:
+        return 0
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, SEED) for s in shingles], np.uint64)
+    hashes = np.array([digest(s, SEED) for s in pieces], np.uint64)
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), _CHUNK):
         piece = hashes[at : at + _CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8)
