@@ -44,3 +44,10 @@ def test_few_and_none(spark):
 def test_products_stay_exact():
     a = np.array([[2.0**30, 3.0]])
     assert topk.products(a, np.array([[2.0**30, 1.0]]))[0, 0] == 2**60 + 3
+
+
+def test_blocks_of_queries_and_of_data_have_inner_nodes():
+    r = np.random.default_rng(1)
+    for size in (topk.QUERIES, topk.BLOCK):
+        tree = topk.CoverTree(np.floor(r.normal(size=(size, 8)) * 64))
+        assert len(tree.children[0]) > 1 and len(tree.first) > size // topk.LEAF
