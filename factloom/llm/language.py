@@ -15,7 +15,6 @@ are fine; lang, source and doc_id are never read by a prediction.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,7 +37,6 @@ UNKNOWN = "und"
 #: A text with a lower score is in none of the languages.
 LEAST_SCORE = 0.05
 
-_LETTER = re.compile(r"[^\W\d_]")
 #: ASCII bytes that are no letters become spaces.
 _SPACED = bytes(c if c > 127 or chr(c).isalpha() else 32 for c in range(256))
 _MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -111,7 +109,7 @@ class Model:
         return counts, held
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        known = [i for i, t in enumerate(texts) if t and _LETTER.search(t)] if self.languages else []
+        known = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))] if self.languages else []
         names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
         if known:
             counts, held = self.hits([_bytes_of(texts[i]) for i in known])

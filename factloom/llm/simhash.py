@@ -80,6 +80,16 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
 
 
+def with_fingerprints(docs: DataFrame, words: int = 3, column: str = "fingerprint") -> DataFrame:
+    """The rows and columns of ``docs`` with the fingerprint as 16 hex digits."""
+    rest = [c for c in docs.columns if c != column]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [f"{fingerprint(t.as_py(), words) % 2**64:016x}" for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(values, pa.string())], [*rest, column])
+
+    return docs.select(*rest).mapInArrow(run, docs.select(*rest).schema.add(column, "string"))
 
 
 def _links_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,10 +186,11 @@ def links(distinct: DataFrame, rows: int) -> DataFrame:
     return dealt.repartition(max(tasks, conf), "list").sortWithinPartitions("list").mapInArrow(_links_of_runs, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 3, with_group: bool = False) -> DataFrame:
     """(doc_id, fingerprint, component_id) for each row of ``docs``.
 
-    ``component_id`` is the smallest doc_id that links of at most 3 bits reach.
+    ``component_id`` is the smallest doc_id that links of at most 3 bits reach. Where ids repeat
+    or are null it does not name one component; ``with_group`` adds a column ``group`` that does.
     """
     prints = stored(fingerprints(docs, words), "simhash")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
@@ -188,6 +199,7 @@ def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
     rooted = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("label", "fp").alias("label"))
     lowest = rooted.groupBy("label").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(lowest, "label").select("fp", "component_id")
+    classes = rooted.join(lowest, "label").select("fp", "component_id", *(["label"] if with_group else []))
     return prints.join(classes, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
+        *([F.col("label").alias("group")] if with_group else []))

@@ -25,7 +25,7 @@ other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from factloom.llm.fm_index import FMIndex
 from factloom.llm.store import partitions_for, stored
@@ -47,6 +48,7 @@ BUCKET_BYTES, GROUP_BYTES, SHARD_BYTES = 48 << 20, 6 << 20, 12 << 20
 #: as many of these as MOST_HOT, which bounds what is broadcast.
 HOT, MOST_HOT = 20_000, 1_000_000
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
+_KEPT = "input_"
 
 
 def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -341,8 +343,8 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from _out(rows, ["group", "n", "data"], [pa.int64(), pa.int64(), pa.binary()]).to_batches()
 
 
-def _removed(keep_text: bool):
-    """Documents of one group without their covered words."""
+def _removed(keep_text: bool, keep: list[str]):
+    """Documents of one group without their covered words, and the columns that ride along."""
 
     def run(docs: pa.Table, places: pa.Table) -> pa.Table:
         found = [_unpacked(d, n, "i8", "i4") for n, d in zip(places["n"].to_pylist(), places["data"].to_pylist(), strict=True)]
@@ -369,23 +371,29 @@ def _removed(keep_text: bool):
         names, kinds = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"], [*[pa.int64()] * 3, pa.string(), pa.string()]
         if not keep_text:
             names = names[:4]
-        return _out(rows, names, kinds[: len(names)])
+        out = _out(rows, names, kinds[: len(names)])
+        for c in keep:
+            out = out.append_column(f"{_KEPT}{c}", docs[f"{_KEPT}{c}"])
+        return out
 
     return run
 
 
-def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, keep_text: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) for each row; with ``keep_text`` also ``kept``.
 
     ``kept`` is the text as it was if nothing is removed, else the kept words joined by a space.
+    Columns named in ``keep`` come along with their own row, as ``input_`` and their name.
     """
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     buckets, groups, shards = (partitions_for(size, each) for each in (BUCKET_BYTES, GROUP_BYTES, SHARD_BYTES))
     frequent = max(HOT, size // 6 // MOST_HOT)
-    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("row"))
+    carried = [F.col(f"`{c}`").alias(f"{_KEPT}{c}") for c in keep]
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("row"), *carried)
+    keyed = rows.select("doc_id", "text", "row")
     # Python's % on the unsigned row, in SQL
-    group = F.pmod(F.pmod(F.shiftrightunsigned("row", 1), F.lit(groups)) * 2 + F.col("row").bitwiseAND(F.lit(1)), F.lit(groups))
-    grouped = keyed.withColumn("group", group)
+    group = F.pmod(F.pmod(F.shiftrightunsigned("row", 1), F.lit(groups)) * 2 + F.col("row").bitwiseAND(F.lit(1)), F.lit(groups)).alias("group")
+    grouped = keyed.select("*", group)
     names = ["key", "n", "data"]
     anchors = keyed.where("doc_id IS NOT NULL").mapInArrow(_send_anchors(buckets, groups), _PLACES)
     places = stored(anchors.groupBy("key").applyInArrow(_shared_anchors(groups, frequent), _PLACES), "anchors")
@@ -404,5 +412,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     covered = stored(
         requests.select("request", "group", "n", "m", "where").join(answers.drop("shard"), "request")
         .mapInArrow(_covered, "group long, n long, data binary"), "covered")
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept string" if keep_text else "")
-    return grouped.groupBy("group").cogroup(covered.groupBy("group")).applyInArrow(_removed(keep_text), schema)
+    schema = T.StructType.fromDDL("doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept string" if keep_text else ""))
+    for c in keep:
+        schema.add(f"{_KEPT}{c}", docs.schema[c].dataType)
+    return rows.select("*", group).groupBy("group").cogroup(covered.groupBy("group")).applyInArrow(_removed(keep_text, list(keep)), schema)
