@@ -1,0 +1,141 @@
+import hashlib
+import math
+import random
+import re
+
+import pytest
+
+from factloom.llm import pii
+from tests.llm.frames import awkward, docs, prose
+
+# The patterns.
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        x = int(d) * (1 + i % 2)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+def by_pattern(text):
+    found = {}
+    for kind, pattern in PATTERNS.items():
+        found[kind] = []
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {"email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")),
+                    "card": 16 <= len(digits) <= 19 and luhn(digits), "phone": 8 <= len(digits) <= 15}[kind]
+            if good:
+                found[kind].append(m.span())
+    return found
+
+
+AWKWARD = [
+    "", "a@b.c", "a@b@c.d", "a@b.c@d.e", "a@b.c_d@e.f", "@b.c x@y", "é@b.c +é@b-.c.", "..@-.-", "1.2.3.4.5.6.7.8", "0000255.1.1.1 256.1.1.1 1.1.1.1.",
+    "12.1.1.1", "1..2.3.4", "4111 1111-1111 1111", "4111111111111111 2", "4111  111111111111", "+1 (743) 555-3824", "+1 2 3", "++49 30 123456 7.8.9.10", "+1234567890123456",
+    "+12345678 +12345678", "4111111111111111111 5500-0000-0000-0004", "x" * 50 + "@" + "y" * 50 + ".z 😀 a@b.c"]
+
+
+def test_spans_equal_the_patterns():
+    r = random.Random(1)
+    texts = AWKWARD + ["".join(r.choice(["a", "1", "2", "55", ".", ".", "@", "+", " ", "-", "(", "é", "_", "\n", "4111111111111111", "b.c"]) for _ in range(r.randrange(1, 40))) for _ in range(20_000)]
+    for text in texts:
+        assert pii.base_spans(text) == by_pattern(text), text
+
+
+@pytest.mark.parametrize("run", ["a", "1", "1.", "@", "a@", "+1", " @b.c", "1 "])
+def test_long_runs_take_linear_time(run):
+    text = run * (400_000 // len(run))
+    pii.base_spans(text)
+
+
+def corpus():
+    """A codename that stands with one address in independent documents, and only there."""
+    texts = [prose(n, 60, 300) for n in range(200)]
+    texts += [f"{prose(500 + n, 40, 300)} zebrafox mail jo.doe@example.com now {prose(600 + n, 20, 300)}" for n in range(6)]
+    texts += [f"{prose(700 + n, 40, 300)} zebrawood {prose(800 + n, 20, 300)}" for n in range(60)]
+    copied = prose(900, 40, 300) + " quokka call +49 30 1234567"  # one witness, however often it is copied
+    texts += [copied] * 8 + [copied + f" w{n}" for n in range(8)]
+    return texts + [prose(901, 20, 300) + " zebrafox " + prose(902, 20, 300), None, ""]
+
+
+def by_hand(texts, disclosure, support, evidence):
+    """The disclosing terms, with witnesses chosen in the module's order."""
+    n = len(texts)
+    of, terms, pairs = {}, {}, {}
+    for i, t in enumerate(texts):
+        t = t or ""
+        spans = by_pattern(t)
+        masked = list(t)
+        for spans_of in spans.values():
+            for a, b in spans_of:
+                masked[a:b] = " " * (b - a)
+        terms[i] = {w.lower() for w in re.findall(r"[^\W_]+", "".join(masked))}
+        for e in pii._entities(t, spans):
+            of.setdefault(e, []).append(i)
+            pairs[e, i] = (pii._pair(e, i, t), *pii._least_hashes(t))
+    flagged = set()
+    for e, ids in of.items():
+        rows = [pairs[e, i] for i in ids]
+        for k in (1, 2, 3):
+            best = {}
+            for r in rows:
+                best[r[k]] = min(best.get(r[k], r), r)
+            rows = list(best.values())
+        witnesses = {r[0] for r in rows}
+        for t in set().union(*(terms[i] for i in ids)):
+            both = [i for i in ids if t in terms[i]]
+            seen = sum(pairs[e, i][0] in witnesses for i in both)
+            n_t = sum(t in terms[i] for i in terms)
+            share, base = len(both) / n_t, len(ids) / n
+            gained = math.log2(share / base)
+            apart = share * gained + ((1 - share) * math.log2((1 - share) / (1 - base)) if share < 1 else 0)
+            if len(witnesses) >= support and seen >= support and gained / -math.log2(base) >= disclosure and seen / share * apart >= evidence:
+                flagged.add(t)
+    return flagged
+
+
+def test_disclosing_terms_against_brute_force(spark):
+    texts = corpus()
+    frame = docs(spark, texts)
+    for disclosure, evidence in ((0.8, 15.0), (0.3, 5.0)):
+        got = {r.term for r in pii.disclosing_terms(frame, disclosure, 3, evidence).collect()}
+        assert got == by_hand(texts, disclosure, 3, evidence)
+        assert "zebrafox" in got and "quokka" not in got
+
+
+@pytest.mark.parametrize("joined", [False, True])
+def test_terms_become_spans_and_are_generalised(spark, monkeypatch, joined):
+    if joined:  # sets too large to broadcast
+        monkeypatch.setattr(pii, "MOST_KEYS", 0)
+        monkeypatch.setattr(pii, "MOST_TERMS", 0)
+    texts = corpus()
+    got = {r.doc_id: r for r in pii.find(docs(spark, texts), evidence=15.0, keep_text=True).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        base = [f"{k}:{a}:{b}" for k, of in by_pattern(t or "").items() for a, b in of]
+        assert got[i].base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+        extra = [f"term:{m.start()}:{m.end()}" for m in re.finditer("zebrafox|mail(?= jo)|now", t or "") if m[0] == "zebrafox"]
+        assert [s for s in got[i].spans.split(",") if s and not s.startswith("term:")] == base
+        assert set(extra) <= set(got[i].spans.split(","))
+    assert "zebrawo*" not in got[210].sanitised and " zebra* " in got[200].sanitised and "<EMAIL>" in got[200].sanitised
+    assert " zebra* " in got[len(texts) - 3].sanitised
+    assert "quokka" in got[270].sanitised and got[270].sanitised.endswith("<PHONE>")
+
+
+def test_awkward_rows_and_an_empty_table(spark):
+    frame = awkward(spark).unionByName(docs(spark, ["x 1.2.3.4", "x 1.2.3.4"], [None, None]), allowMissingColumns=True).selectExpr("*", "1 AS term", "2 AS entity", "3 AS pair")
+    rows = [(r.doc_id, r.text) for r in frame.collect()]
+    got = sorted(((r.doc_id, r.spans) for r in pii.find(frame).collect()), key=repr)
+    assert got == sorted(((i, ",".join(f"{k}:{a}:{b}" for k, of in by_pattern(t or "").items() for a, b in of)) for i, t in rows), key=repr)
+    assert pii.find(docs(spark, []), keep_text=True).count() == 0
+
+
+def test_a_hot_entity_reveals_nothing_by_chance(spark):
+    texts = [prose(n, 30, 2000) + (" 9.9.9.9" if n % 3 == 0 else "") for n in range(300)]
+    assert pii.disclosing_terms(docs(spark, texts)).count() == 0
