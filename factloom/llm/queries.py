@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import bpe, decontamination, extraction, kdtree, language, simhash, substring, token_files, topk, urls
+from factloom.llm import (
+    bpe,
+    collocations,
+    decontamination,
+    extraction,
+    fim,
+    kdtree,
+    language,
+    pii,
+    simhash,
+    substring,
+    token_files,
+    topk,
+    urls,
+)
 from factloom.llm.store import shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +91,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fill_in_middle(_table(spark, sf_dir, "documents"))
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,7 +111,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_decontamination, op2_language_id, op3_token_files, op4_html_extraction, op5_sharding, op6_bpe, op7_top_k,
-    op8_substring_dedup, op9_url_filter, op10_simhash, pipeline)}
+    op8_substring_dedup, op9_url_filter, op10_simhash, op11_fill_in_middle, op12_personal_data, op13_collocations, pipeline)}
 
 _WORDS = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 
@@ -98,6 +124,16 @@ def _shingles(table: str, key: str) -> str:
     )
 
 
+def _ngrams(size: int) -> str:
+    return (
+        f"SELECT lang, {size} AS size, unnest(list_transform(range(1, len(w) - {size - 2}), lambda i: array_to_string(w[i:i + {size - 1}], ' '))) AS phrase"
+        f" FROM pieces WHERE len(w) >= {size}")
+
+
+def _draw(n: int) -> str:
+    return f"CAST('0x' || substr(digest, {8 * n - 7}, 8) AS bigint)"
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": f"""
         WITH wanted AS ({_shingles('benchmark', 'item_id')}), held AS ({_shingles('documents', 'doc_id')}),
@@ -136,4 +172,37 @@ ORACLE_SQL: dict[str, str] = {
         best AS (SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action
                  FROM fits GROUP BY host, path)
         SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM parts LEFT JOIN best USING (host, path)""",
+    "op11_fill_in_middle": f"""
+        WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS digest,
+                             regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS units
+                      FROM documents),
+        drawn AS (SELECT *, len(units) AS n, {_draw(1)} % (len(units) + 1) AS x, {_draw(2)} % (len(units) + 1) AS y,
+                         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR {_draw(3)} % 100 >= 50 THEN 'plain'
+                              WHEN {_draw(4)} % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM docs),
+        parts AS (SELECT *, array_to_string(list_filter(units, lambda u, i: i <= least(x, y)), '') AS prefix,
+                         array_to_string(list_filter(units, lambda u, i: i > least(x, y) AND i <= greatest(x, y)), '') AS middle,
+                         array_to_string(list_filter(units, lambda u, i: i > greatest(x, y)), '') AS suffix FROM drawn)
+        SELECT doc_id, CAST(n AS bigint) AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                                ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256 FROM parts""",
+    "op13_collocations": f"""
+        WITH split AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+        pieces AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM split),
+        words AS (SELECT lang, CAST(sum(len(w)) AS bigint) AS n FROM pieces GROUP BY lang),
+        f AS (SELECT lang, size, phrase, count(*) AS a FROM ({' UNION ALL '.join(_ngrams(k) for k in (1, 2, 3, 4))}) GROUP BY ALL HAVING count(*) >= 30),
+        candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+        cuts AS (SELECT *, unnest(range(1, size)) AS k FROM candidates),
+        scored AS (SELECT c.lang, c.phrase, c.a, c.k, x.a AS l, y.a AS r, CAST(2000000::hugeint * c.a // (x.a::hugeint + y.a) AS bigint) AS score
+                   FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+                   JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:c.size], ' ')),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        sizes AS (SELECT *, unnest(range(2, size)) AS m FROM candidates),
+        inner_parts AS (SELECT lang, a AS longer, unnest(list_transform(range(1, size - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase FROM sizes),
+        gone AS (SELECT DISTINCT b.lang, b.phrase FROM best b JOIN inner_parts p ON p.lang = b.lang AND p.phrase = b.phrase
+                 WHERE 100::hugeint * p.longer >= 80::hugeint * b.a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM best ANTI JOIN gone USING (lang, phrase) JOIN words USING (lang) QUALIFY rank <= 2000""",
 }
