@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,11 +40,12 @@ from factloom.llm.store import new_path, stored
 LENGTHS, LEAST, SCALE, SHARE, TOP = 4, 30, 2_000_000, 80, 2000
 SHARDS = 3
 #: Text that is counted at once, and the bounds of the array of first steps (bits; text bytes for each place).
-CHUNK_BYTES, LEAST_BITS, MOST_BITS, BYTES_A_PLACE = 6 << 20, 16, 26, 64
+CHUNK_BYTES, LEAST_BITS, MOST_BITS, BYTES_A_PLACE = 8 << 20, 16, 26, 64
 #: Parts of a lang whose best phrases are ranked before those of the whole lang.
 SALTS = 64
 UNKNOWN = "und"
-COUNTS = "lang string, size int, phrase string, first int, n long"
+#: A key is lang, tab and phrase; a state is 256 times the step from which the phrase is built upon, and its own first step.
+COUNTS = "key string, n long, state int"
 #: Letters to lower case, ends of pieces to full stops, tabs to spaces.
 _PLAIN = bytes(46 if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c in (9, 32) else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _MULTIPLY, _FOLD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -64,8 +66,9 @@ def _place(hashes: np.ndarray, lang: str, bits: int) -> np.ndarray:
     return (x >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def place_of(phrase: str, lang: str, bits: int) -> int:
+def place_of(key: str, bits: int) -> int:
     """Where the first step of what builds on a phrase stands."""
+    lang, _, phrase = key.rpartition("\t")
     hashes = np.array([_hash(w) for w in phrase.encode().split(b" ")], np.uint64)
     h = hashes[:1]
     for k in range(1, len(hashes)):
@@ -93,44 +96,55 @@ def _chunks(texts: list[bytes]) -> Iterator[bytes]:
         yield b".".join(held)
 
 
-def count_chunk(text: bytes, lang: str, step: int, shards: int, firsts: np.ndarray, bits: int) -> Iterator[tuple[int, int, np.ndarray, list[str]]]:
-    """(size, first, counts, phrases) of the active phrases in a chunk; size 0 stands for all words."""
-    words = text.replace(b".", b" . ").split()
-    ids: dict[bytes, int] = {b".": 0}
-    w = np.array([ids.setdefault(x, len(ids)) for x in words], np.int64)
-    names = list(ids)
-    real = w > 0
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each key the number of its value, and of each value a place and how often it stands."""
+    coded = pa.array(keys).dictionary_encode()
+    back = coded.indices.to_numpy().astype(np.int64)
+    at = np.empty(len(coded.dictionary), np.int64)
+    at[back] = np.arange(len(back))
+    return back, at, np.bincount(back, minlength=len(at))
+
+
+def count_chunk(text: bytes, lang: str, step: int, shards: int, firsts: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray, pa.Array]]:
+    """(first step, counts, phrases) of the active phrases in a chunk; the empty phrase stands for all words."""
+    spaced = pa.array([text.replace(b".", b" . ").decode()], pa.large_string())
+    coded = pc.ascii_trim_whitespace(spaced).cast(pa.large_string())
+    coded = pc.list_flatten(pc.ascii_split_whitespace(coded)).dictionary_encode()
+    names, w = coded.dictionary.cast(pa.string()), coded.indices.to_numpy().astype(np.int64)
+    listed = names.to_pylist()
+    breaks = np.array([n in (".", "") for n in listed], bool)
     if step < shards:
-        counts = np.bincount(w, minlength=len(names))
-        yield 0, 0, np.array([int(real.sum())]), [""]
-        yield 1, 0, counts[1:], [x.decode() for x in names[1:]]
-    h = np.array([_hash(x) for x in names], np.uint64)
-    begun = firsts[_place(h, lang, bits)].astype(np.int32)
-    begun[0] = 0
-    # at each place: the hash of the phrase that starts there, its exact number, and when what builds on it may start
-    head, number, may = h[w], w, begun[w]
+        counts = np.bincount(w, minlength=len(listed))
+        real = np.flatnonzero(~breaks)
+        yield 0, counts[real].sum(keepdims=True), pa.array([""], pa.string())
+        yield 0, counts[real], names.take(pa.array(real))
+    h = np.array([_hash(x.encode()) for x in listed], np.uint64)
+    begun = firsts[_place(h, lang, bits)]
+    begun[breaks] = 0
+    # at each place: the hash of the phrase that starts there, and when what builds on it may start
+    head, may = h[w], begun[w]
     for size in range(2, LENGTHS + 1):
-        first = np.maximum(may[:-1], may[1:])
-        n = len(first)
-        # both parts have reached the threshold, the cycle is not over, and no piece ends within
-        active = np.flatnonzero((may[:-1] > 0) & (may[1:] > 0))
-        if not len(active):
+        # both parts have reached the threshold, and no piece ends within
+        alive = np.flatnonzero((may[:-1] > 0) & (may[1:] > 0))
+        if not len(alive):
             return
-        last = w[active + size - 1]
-        keys = number[active] * len(names) + last
-        distinct, at, back, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-        begin = first[active[at]]
-        for f in np.unique(begin).tolist():
-            if f <= step < f + shards:
-                mine = np.flatnonzero(begin == f)
-                places = active[at[mine]].tolist()
-                yield size, f, counts[mine], [b" ".join(words[p : p + size]).decode() for p in places]
+        first = np.maximum(may[alive], may[alive + 1])
+        for f in np.unique(first).tolist():
+            if f <= step < f + shards:  # its cycle is not over
+                places = alive[first == f]
+                keys = w[places]
+                for k in range(1, size):
+                    keys = (keys if k == 1 else _distinct(keys)[0]) * len(listed) + w[places + k]
+                _, at, counts = _distinct(keys)
+                places = places[at]
+                yield f, counts, pc.binary_join_element_wise(*[names.take(pa.array(w[places + k])) for k in range(size)], " ")
         if size == LENGTHS:
             return
-        hashes = _longer(head[active], h[last])
-        head, number, may = np.zeros(n, np.uint64), np.zeros(n, np.int64), np.zeros(n, np.int32)
-        head[active], number[active] = hashes, back
-        may[active] = firsts[_place(hashes, lang, bits)]
+        longer = _longer(head[alive], h[w[alive + size - 1]])
+        n = len(may) - 1
+        head, may = np.zeros(n, np.uint64), np.zeros(n, np.uint8)
+        head[alive] = longer
+        may[alive] = firsts[_place(longer, lang, bits)]
 
 
 def _counting(step: int, shards: int, given, bits: int):
@@ -142,11 +156,10 @@ def _counting(step: int, shards: int, given, bits: int):
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, texts in by_lang.items():
                 for chunk in _chunks(texts):
-                    for length, first, counts, phrases in count_chunk(chunk, lang, step, shards, firsts, bits):
-                        n = len(phrases)
+                    for first, counts, phrases in count_chunk(chunk, lang, step, shards, firsts, bits):
+                        keys = pc.binary_join_element_wise(pa.scalar(lang), phrases, "\t")
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * n, pa.string()), pa.array([length] * n, pa.int32()), pa.array(phrases, pa.string()),
-                             pa.array([first] * n, pa.int32()), pa.array(counts, pa.int64())], ["lang", "size", "phrase", "first", "n"])
+                            [keys, pa.array(counts, pa.int64()), pa.array(np.full(len(keys), first), pa.int32())], ["key", "n", "state"])
             by_lang.clear()
 
         for batch in batches:
@@ -166,7 +179,7 @@ def _places(bits: int):
     """The places of phrases, each partition's as one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = [place_of(p, lang, bits) for b in batches for p, lang in zip(b.column("phrase").to_pylist(), b.column("lang").to_pylist(), strict=True)]
+        found = [place_of(key, bits) for b in batches for key in b.column("key").to_pylist()]
         if found:
             yield pa.RecordBatch.from_arrays([pa.array([np.unique(np.array(found, np.int32)).tobytes()], pa.binary())], ["places"])
 
@@ -185,23 +198,22 @@ def count_phrases(docs: DataFrame, least: int = LEAST, shards: int = SHARDS) ->
     size = table.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     bits = min(max((size // BYTES_A_PLACE).bit_length(), LEAST_BITS), MOST_BITS)
     firsts = np.zeros(1 << bits, np.uint8)
-    running = spark.createDataFrame([], COUNTS + ", reached int")
+    running = spark.createDataFrame([], COUNTS)
     done: list[DataFrame] = []
     step, until = 0, shards
     while step < until:
         given = spark.sparkContext.broadcast(firsts.tobytes())
-        counted = (
-            table.where(F.col("shard") == step % shards).select("lang", "text")
-            .mapInArrow(_counting(step, shards, given, bits), COUNTS).withColumn("reached", F.lit(None).cast("int")))
-        sums = running.unionByName(counted).groupBy("lang", "size", "phrase").agg(
-            F.max("first").alias("first"), F.sum("n").alias("n"), F.max("reached").alias("reached"))
-        over = F.col("first") + shards - 1 <= step
+        counted = table.where(F.col("shard") == step % shards).select("lang", "text").mapInArrow(_counting(step, shards, given, bits), COUNTS)
+        sums = running.unionByName(counted).groupBy("key").agg(F.sum("n").alias("n"), F.max("state").alias("state"))
+        over = F.col("state") % 256 + shards - 1 <= step
+        reached = F.when((F.col("n") >= least) & (F.col("state") < 256), F.col("state") + 256 * (step + 1)).otherwise(F.col("state"))
         kept = stored(
-            sums.withColumn("reached", F.coalesce("reached", F.when(F.col("n") >= least, step + 1)))
-            .where(~over | (F.col("n") >= least) | (F.col("size") == 0)).withColumn("over", over), f"counts-{step}")
-        done.append(kept.where("over").select("lang", "size", "phrase", "n"))
-        running = kept.where("NOT over").drop("over")
-        new = kept.where((F.col("reached") == step + 1) & F.col("size").between(1, LENGTHS - 1)).select("lang", "phrase")
+            sums.withColumn("over", over).where(~over | (F.col("n") >= least) | F.col("key").endswith("\t")).withColumn("state", reached),
+            f"counts-{step}", {"parquet.enable.dictionary": "false"})
+        done.append(kept.where("over").select("key", "n"))
+        running = kept.where("NOT over").select("key", "n", "state")
+        size_of = F.size(F.split(F.substring_index("key", "\t", -1), " "))
+        new = kept.where((F.col("state") >= 256 * (step + 1)) & ~F.col("key").endswith("\t") & (size_of < LENGTHS)).select("key")
         for (places,) in new.mapInArrow(_places(bits), "places binary").collect():  # at most 4 bytes a place of the array and task
             at = np.frombuffer(bytes(places), np.int32)
             at = at[firsts[at] == 0]
@@ -213,7 +225,10 @@ def count_phrases(docs: DataFrame, least: int = LEAST, shards: int = SHARDS) ->
     found = done[0]
     for part in done[1:]:
         found = found.unionByName(part)
-    return found
+    phrase = F.substring_index("key", "\t", -1)
+    lang = F.expr("left(key, length(key) - length(phrase) - 1)")
+    size = F.when(F.col("phrase") == "", 0).otherwise(F.regexp_count("phrase", F.lit(" ")) + 1)
+    return found.select("key", phrase.alias("phrase"), "n").select(lang.alias("lang"), size.alias("size"), "phrase", "n")
 
 
 def collocations(

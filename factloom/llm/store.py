@@ -30,14 +30,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/factloom-llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet and read back: later steps do not compute it again.
+def stored(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
+    """``df`` written once as Parquet, with the writer's ``options``, and read back: later steps do not compute it again.
 
     Spark deletes the shuffle files of a finished step when the driver collects its garbage;
     asking for that here keeps the disk free of steps that are done.
     """
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").options(**(options or {})).parquet(path)
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
