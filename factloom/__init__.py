@@ -8,7 +8,8 @@ from factloom.operators.headings import strip_headings
 from factloom.plans.chain import run_chain
 from factloom.plans.prep import Substring, prep, run_prep
 from factloom.sources.files import scan, write_parquet
-from factloom.sources.tables import drop, export_table, import_external, load_table
+from factloom.sources.loading import load_table, recover_load
+from factloom.sources.tables import drop, drop_external, drop_managed, export_table, import_external
 from factloom.streaming.prep_stream import prep_stream
 
 __all__ = [
@@ -22,12 +23,15 @@ __all__ = [
     "check",
     "derive_substring",
     "drop",
+    "drop_external",
+    "drop_managed",
     "enforce",
     "export_table",
     "import_external",
     "load_table",
     "prep",
     "prep_stream",
+    "recover_load",
     "run_chain",
     "run_prep",
     "scan",

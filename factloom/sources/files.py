@@ -7,9 +7,19 @@ count as a read option.
 
 from __future__ import annotations
 
+import fnmatch
+import math
+import re
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from factloom.sources.audit import require_one_schema
+from factloom.sources.publishing import Storage, listed
+
 _READ_OPTIONS: dict[str, dict[str, str]] = {
     "parquet": {},
     # a file whose header differs from the others' is an error, not swapped columns
@@ -29,16 +39,55 @@ def scan(
     fmt: str = "parquet",
     schema: T.StructType | None = None,
     multi_line: bool = False,
+    drift: str = "raise",
 ) -> DataFrame:
     """A directory or file of Parquet, or of pipe-delimited CSV with a header.
 
-    Parquet takes its schema from a footer. CSV columns are all text, so that
+    Parquet takes its schema from the footers. Files that differ in a column's name or type raise;
+    ``drift="unite"`` reads the columns of all of them, null where a file has none, and
+    ``"ignore"`` goes by one footer, for files that one write has made. CSV columns are all text, so that
     typing is left to the contract and no pass over the data infers it. With
     ``multi_line``, quoted CSV values may hold line breaks; each file is then
     read by one task, so files should be of split size.
     """
+    if drift not in ("raise", "unite", "ignore"):
+        raise ValueError(f"drift must be 'raise', 'unite' or 'ignore', not {drift!r}")
     reader = spark.read.format(fmt).options(**read_options(fmt, multi_line))
-    return (reader.schema(schema) if schema else reader).load(path)
+    if schema is not None or fmt != "parquet":
+        return (reader.schema(schema) if schema else reader).load(path)
+    if drift == "unite":
+        return reader.option("mergeSchema", "true").load(path)
+    found = reader.load(path)
+    if drift == "raise" and len(files := found._jdf.inputFiles()) > 1:
+        require_one_schema(spark, path, [str(f) for f in files])
+    return found
+
+
+@contextmanager
+def read_in(spark: SparkSession, path: str, tasks: int) -> Iterator[int]:
+    """Within this, Spark reads the files under ``path`` in about ``tasks`` splits; gives the bytes of a split.
+
+    Parquet has no read option for it: a split is what ``spark.sql.files.maxPartitionBytes`` allows, less
+    where ``minPartitionNum`` wants more of them, and every file counts ``openCostInBytes`` on
+    top. All three are set so that files larger than a split are cut and smaller ones share
+    one. A row group is never cut, so of splits smaller than these some read nothing.
+    """
+    if isinstance(tasks, bool) or not isinstance(tasks, int) or tasks < 1:
+        raise ValueError(f"tasks must be a positive number, not {tasks!r}")
+    size = listed(spark, path).agg(F.sum("length").alias("n")).first()["n"] or 0
+    split = max(1, math.ceil(size / tasks))
+    wanted = {"maxPartitionBytes": str(split), "minPartitionNum": str(tasks), "openCostInBytes": "0"}
+    before = {k: spark.conf.get(f"spark.sql.files.{k}", None) for k in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(f"spark.sql.files.{key}", value)
+        yield split
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(f"spark.sql.files.{key}")
+            else:
+                spark.conf.set(f"spark.sql.files.{key}", value)
 
 
 def place(df: DataFrame, partitions: int | str | None) -> DataFrame:
@@ -73,33 +122,6 @@ def join_path(base: str, location: str) -> str:
     return base.rstrip("/") + "/" + location.strip("/")
 
 
-def _qualified(spark: SparkSession, path: str) -> str:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return file_system.makeQualified(hadoop_path).toString().rstrip("/") + "/"
-
-
-def replace_directory(
-    spark: SparkSession, source: str, target: str | None, schema: T.StructType | None = None
-) -> None:
-    """Move a directory of files to ``target`` in place of what is there; to None: delete it.
-
-    With a ``schema``, a source without files becomes a directory of no rows.
-    """
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
-    if target is None:
-        files.delete(path(source), True)
-        return
-    if not files.exists(path(source)) and schema is not None:
-        write_parquet(spark.createDataFrame([], schema), target)
-        return
-    files.delete(path(target), True)
-    files.mkdirs(path(target).getParent())
-    if not files.rename(path(source), path(target)):
-        raise OSError(f"cannot move {source!r} to {target!r}")
-
-
 def roots(df: DataFrame) -> list[str]:
     """The directories and files that a frame reads, with globs and views resolved."""
     found: list[str] = []
@@ -112,14 +134,35 @@ def roots(df: DataFrame) -> list[str]:
     return found
 
 
+def _apart(a: str, b: str) -> bool:
+    a, b = a + "/", b + "/"
+    return not (a.startswith(b) or b.startswith(a))
+
+
 def require_apart(spark: SparkSession, source: DataFrame | str, target: str) -> None:
     """Raise when a directory that ``source`` reads is ``target``, or one lies inside the other.
 
     An overwrite empties its target before the first row is read, so without
     this check the input would be lost.
     """
-    b = _qualified(spark, target)
+    files = Storage(spark)
     for held in [source] if isinstance(source, str) else roots(source):
-        a = _qualified(spark, held)
-        if a.startswith(b) or b.startswith(a):
+        if not _apart(files.qualified(held), files.qualified(target)):
             raise ValueError(f"cannot write {target!r} while reading {held!r}: the directories overlap")
+
+
+def require_outputs_apart(spark: SparkSession, *targets: str) -> None:
+    """Raise when two directories that one job writes are one, or one lies inside the other."""
+    files = Storage(spark)
+    for n, a in enumerate(targets):
+        for b in targets[:n]:
+            if not _apart(files.qualified(a), files.qualified(b)):
+                raise ValueError(f"cannot write both {b!r} and {a!r}: the directories overlap")
+
+
+def require_no_match(spark: SparkSession, pattern: str, target: str) -> None:
+    """Raise when a glob may ever list ``target``, what is in it or what it is in."""
+    wanted = re.sub(r"\{[^}]*\}", "*", Storage(spark).qualified(pattern)).split("/")
+    held = Storage(spark).qualified(target).split("/")
+    if all(fnmatch.fnmatchcase(h, w) for h, w in zip(held, wanted, strict=False)):
+        raise ValueError(f"cannot write {target!r} while reading {pattern!r}: the directories overlap")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Mapping
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,26 +12,52 @@ from pyspark.sql import types as T
 from factloom.contract import SALES_IMPORT, Contract
 from factloom.functions.names import folded, require_columns
 from factloom.operators.checks import ContractViolation
-from factloom.sources.files import join_path, place, require_apart, roots, scan, write_parquet
+from factloom.sources.files import join_path, require_apart, scan, write_parquet
+from factloom.sources.publishing import beside, publish
 
 
 def _quoted_path(path: str) -> str:
     return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+class WrongKind(ValueError):
+    """A name belongs to a table of another kind than the one to be dropped."""
+
+
+def table_kind(spark: SparkSession, name: str) -> str | None:
+    """``"MANAGED"``, ``"EXTERNAL"``, ``"VIEW"`` or ``"TEMPORARY"``; None for a name that is not there."""
+    return spark.catalog.getTable(name).tableType if spark.catalog.tableExists(name) else None
+
+
 def drop(spark: SparkSession, name: str) -> bool:
-    """Drop a table or view if it exists; say whether it did.
+    """Drop a table or view of any kind if it exists; say whether it did.
 
-    The files of an external table, and those under a view, stay.
+    The files of a managed table go with it; those of an external one, and those under a view, stay.
     """
-    if not spark.catalog.tableExists(name):
+    kind = table_kind(spark, name)
+    if kind is None:
         return False
-    is_view = spark.catalog.getTable(name).tableType in ("VIEW", "TEMPORARY")
-    kind = "VIEW" if is_view else "TABLE"
-    spark.sql(f"DROP {kind} IF EXISTS {name}")
+    spark.sql(f"DROP {'VIEW' if kind in ('VIEW', 'TEMPORARY') else 'TABLE'} IF EXISTS {name}")
     return True
 
 
+def drop_external(spark: SparkSession, name: str) -> bool:
+    """Drop an external table or a view if it exists; say whether it did. Files stay.
+
+    A managed table of that name is an error: dropping it would delete its files.
+    """
+    if table_kind(spark, name) == "MANAGED":
+        raise WrongKind(f"{name} is a managed table: dropping it as an external one would delete its files")
+    return drop(spark, name)
+
+
+def drop_managed(spark: SparkSession, name: str) -> bool:
+    """Drop a managed table with its files if it exists; say whether it did. Any other kind is an error."""
+    if table_kind(spark, name) not in (None, "MANAGED"):
+        raise WrongKind(f"{name} is no managed table")
+    return drop(spark, name)
+
+
 def table_location(spark: SparkSession, name: str) -> str | None:
     """Where a table's files are; None for a view or a name that is not there."""
     if not spark.catalog.tableExists(name):
@@ -47,18 +74,23 @@ def export_table(
     location: str = "export",
     external: str | None = None,
     partitions: int | str | None = None,
+    about: Mapping[str, Any] | None = None,
 ) -> str:
     """Write all of ``table`` as Snappy Parquet under ``base``; return the directory.
 
-    With ``external``, a catalog table of that name is declared over the files,
-    in place of any earlier one.
+    The files are written beside the directory and published when they are whole, with ``about``
+    in their note. With ``external``, a catalog table of that name is declared over the files, in place
+    of any earlier external one; a managed table of that name is an error, before anything is written.
     """
     path = join_path(base, location)
     source = spark.table(table)
-    require_apart(spark, source, path)
-    write_parquet(source, path, partitions)
+    for at in (path, beside(path, "writing")):
+        require_apart(spark, source, at)
+    if external is not None and table_kind(spark, external) == "MANAGED":
+        raise WrongKind(f"{external} is a managed table and would lose its files")
+    publish(spark, {path: write_parquet(source, beside(path, "writing"), partitions)}, about)
     if external is not None:
-        drop(spark, external)
+        drop_external(spark, external)
         spark.sql(f"CREATE TABLE {external} USING parquet LOCATION {_quoted_path(path)}")
     return path
 
@@ -114,59 +146,24 @@ def import_external(
     location: str = "prepared",
     declared: Contract = SALES_IMPORT,
     name: str | None = None,
+    drift: str = "raise",
 ) -> DataFrame:
     """The Parquet files under ``base`` as a table of the declared columns, types and order.
 
     The files are read with the schema they have and cast: Spark refuses to
     read a decimal of one scale as another, and would read a column the files
-    lack as null. With ``name``, the same select is kept in the catalog as a
-    view over the files, in place of any earlier one; no data is copied.
+    lack as null. See ``scan`` for ``drift`` between files. With ``name``, the same select is kept
+    in the catalog as a view over the files, in place of any earlier one or of an external
+    table; a managed table of that name is an error. No data is copied.
     """
     path = join_path(base, location)
-    files = scan(spark, path)
+    if name is not None and drift == "unite":
+        raise ValueError("a view goes by one footer: it cannot unite files of differing columns")
+    files = scan(spark, path, drift=drift)
     imported = as_declared(files, declared)
     if name is None:
         return imported
-    drop(spark, name)
+    drop_external(spark, name)
     columns, quoted = ", ".join(_declared_columns(files, declared)), path.replace("`", "``")
     spark.sql(f"CREATE VIEW {name} AS SELECT {columns} FROM parquet.`{quoted}`")
     return spark.table(name)
-
-
-def _default_place(spark: SparkSession, name: str):
-    """The directory of a managed table of this name, and its file system."""
-    state = spark._jsparkSession.sessionState()
-    path = spark._jvm.org.apache.hadoop.fs.Path(
-        state.catalog().defaultTablePath(state.sqlParser().parseTableIdentifier(name)))
-    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def load_table(df: DataFrame, name: str, partitions: int | str | None = None) -> str:
-    """Replace the managed table ``name`` by ``df``; return the name.
-
-    The table is a heap: no buckets, no sort order, no partition columns. Rows
-    are spread without regard to their values; see ``place`` for ``partitions``.
-
-    The rows are written as a table of another name first; only when that is whole is
-    the old table dropped and the new one renamed, so a load that fails leaves the old
-    table as it was. Files that lie in the default directory of ``name`` while no table
-    has that name are what a broken-off load left; they are deleted just before the rename.
-    """
-    spark = df.sparkSession
-    held = table_location(spark, name)
-    if held is not None and any(r.rstrip("/") == held.rstrip("/") for r in roots(df)):
-        raise ValueError(f"[UNSUPPORTED_OVERWRITE] {name} cannot be replaced by rows read from it")
-    staged = f"{name}__loading_{uuid.uuid4().hex[:8]}"
-    writer = place(df, partitions).write.mode("error").format("parquet").option("compression", "snappy")
-    try:
-        writer.saveAsTable(staged)
-    except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {staged}")
-        path, files = _default_place(spark, staged)
-        files.delete(path, True)
-        raise
-    drop(spark, name)
-    path, files = _default_place(spark, name)
-    files.delete(path, True)
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
-    return name
