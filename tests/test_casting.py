@@ -137,3 +137,29 @@ def test_all_missing_columns_are_named_at_once(spark):
     contract = Contract((Field("a", INT), Field("b", INT), Field("c", INT)))
     with pytest.raises(ValueError, match=r"\['b', 'c'\]"):
         cast_columns(spark.createDataFrame([(1,)], ["a"]), contract)
+
+
+EXPONENTS = {
+    "1e3": 1000, "1.5e3": 1500, "1.99999999999999999999e0": 1, "1.9999999999999999999999999e2": 199, "123456789012345678.9e0": 123456789012345678,
+    "0.0000000000000000000000123e25": 123, "9223372036854775807000e-3": 9223372036854775807, "92233720368547758079e-1": 9223372036854775807,
+    "9223372036854775808e0": None, "-9223372036854775808.9e0": -9223372036854775808, "-0.00000012345E+10": -1234, "+12345678901e-10": 1,
+    "1e99999999999999999999999999999999999999999": None, "0e99999999999999999999999": 0, "1e-99999999999999999999999999999999999999999": 0,
+    "000000000000000012e-1": 1, ".000000000005e12": 5, "5.e00000000000000": 5, " 123456789e1 ": 1234567890, "123456789ex": None, "e123456789": None,
+    ".e123456789": None, "123456789e": None, "123456789e1.5": None, "1" + "0" * 50 + "e-40": 10**10, "--123456789e1": None,
+}
+
+
+def test_exponents_are_exact(spark):
+    assert cast(spark, list(EXPONENTS), "string", LONG) == list(EXPONENTS.values())
+    good = {t: v for t, v in EXPONENTS.items() if v is not None}
+    assert cast(spark, list(good), "string", LONG, "fail") == list(good.values())
+    for bad in ("1e99", "9223372036854775808e0", "123456789ex"):
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT|CAST_OVERFLOW|OUT_OF_RANGE|OUT_OF_SUPPORTED_RANGE"):
+            cast(spark, [bad], "string", LONG, "fail")
+
+
+def test_only_ascii_digits_are_digits(spark):
+    texts = ["\u0663", "12\u0663", "\uff11\uff12", "1\u00a0", "7"]
+    assert cast(spark, texts, "string", INT) == [None, None, None, None, 7]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        cast(spark, ["\u0663"], "string", INT, "fail")
