@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from factloom.contract import SALES, Contract
 from factloom.operators.checks import enforce
 from factloom.plans.prep import DESC1, Substring, prep
-from factloom.sources.files import read_options, require_apart
+from factloom.sources.files import read_options, require_apart, require_no_match
 
 
 def prep_stream(
@@ -34,6 +34,7 @@ def prep_stream(
     With ``declared``, the first row that breaks that contract stops the query.
     """
     require_apart(spark, source, target)
+    require_no_match(spark, source, target)  # a glob may list the target once it is there
     arriving = spark.readStream.format(fmt).options(**read_options(fmt)).schema(schema).load(source)
     prepared = prep(arriving, contract, derive, on_error)
     if declared is not None:
