@@ -20,24 +20,32 @@ from factloom import (
     Field,
     cast_columns,
     check,
+    check_rejects,
     derive_substring,
     drop,
+    drop_external,
     export_table,
+    file_schemas,
     import_external,
     load_table,
     prep,
+    prep_batches,
     prep_stream,
+    read_ddl,
+    read_in,
+    recover_load,
     run_chain,
     run_prep,
     scan,
     split,
     strip_headings,
+    trace_back,
     write_parquet,
 )
 from factloom import job
 from factloom.operators.checks import require_types
 from fixtures import oracle
-from fixtures.sales import planted_fact, sales_fact, sales_source, scratch, scratch_schema
+from fixtures.sales import SALES_DDL, planted_fact, sales_fact, sales_source, scratch, scratch_schema
 
 try:
     from factloom.llm.queries import ORACLE_SQL as LLM_SQL
@@ -59,6 +67,19 @@ _TEXT = (
 #: The digits before the point, in DuckDB; null for what is no number.
 _WHOLE = "CASE WHEN regexp_full_match(t, '[0-9]+([.][0-9]*)?') THEN split_part(t, '.', 1) END"
 
+#: Text of up to 40 digits with exponents, and text that is no number; the same in both dialects.
+_EXPONENT = (
+    "concat(CASE l_linenumber % 7 WHEN 0 THEN '-' ELSE '' END, CASE l_linenumber % 7 WHEN 4 THEN '0.00000000000000000000' ELSE '' END,"
+    " CAST(l_orderkey AS varchar(20)), CASE l_linenumber % 7 WHEN 0 THEN '.5E+3' WHEN 1 THEN concat('.', repeat('9', 25), 'e2')"
+    " WHEN 2 THEN concat(repeat('0', 25), 'e-25') WHEN 3 THEN 'e99999999999' WHEN 4 THEN 'e30' WHEN 5 THEN concat('.', repeat('9', 25), 'e')"
+    " ELSE concat('.', repeat('9', 30), 'e0') END)"
+)
+#: Their whole parts by arithmetic on the key k, in DuckDB.
+_SHIFTED = (
+    "CASE l_linenumber % 7 WHEN 0 THEN -(k * 1000 + 500) WHEN 1 THEN k * 100 + 99 WHEN 2 THEN k"
+    " WHEN 4 THEN k * CAST(10 ** (10 - length(CAST(k AS varchar))) AS hugeint) WHEN 6 THEN k END"
+)
+
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(sales_fact(spark, sf_dir)[0])
@@ -226,14 +247,131 @@ def command_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chain_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A chain over a fact with broken rows: the loaded rows, and the rejected ones with their rules."""
     schema, base = scratch_schema(spark), scratch(spark)
-    broken = _fact(spark, sf_dir).withColumn("Quantity", F.expr("nullif(Quantity, 50)"))
-    broken = broken.withColumn("Package", F.expr("CASE WHEN Package = 'SMALL' THEN repeat(Package, 11) ELSE Package END"))
-    broken.createOrReplaceTempView("broken_fact_sale")
+    _broken(spark, sf_dir).createOrReplaceTempView("broken_fact_sale")
     loaded = run_chain(spark, "broken_fact_sale", base, f"{schema}.loaded", on_violation="split")
     rejected = scan(spark, f"{base}/rejected").withColumn("TaxRate", F.col("TaxRate").cast(SALES_IMPORT.schema()["TaxRate"].dataType))
     return spark.table(loaded).withColumn("violations", F.lit("")).unionByName(rejected)
 
 
+def _broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw fact with rows that will break the contract."""
+    broken = _fact(spark, sf_dir).withColumn("Quantity", F.expr("nullif(Quantity, 50)"))
+    return broken.withColumn("Package", F.expr("CASE WHEN Package = 'SMALL' THEN repeat(Package, 11) ELSE Package END"))
+
+
+def load_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads that were committed and broken off before the table showed them, brought to their end.
+
+    One has the columns of the table and one has others; until they are recovered the old rows are there.
+    """
+    name, prepared = f"{scratch_schema(spark)}.fact_sale_loaded", prep(_fact(spark, sf_dir))
+    load_table(prepared.where("SaleKey % 2 = 0"), name)
+    for rows in (prepared.where("SaleKey % 3 = 0"), prepared):
+        before = spark.table(name).count()
+        load_table(rows, name, publish=False)
+        if spark.table(name).count() != before or not recover_load(spark, name) or recover_load(spark, name):
+            raise RuntimeError("a load was published before its time, not at all, or twice")
+    load_table(prepared.withColumn("loaded", F.lit(3)), name, publish=False)
+    if "loaded" in spark.table(name).columns or not recover_load(spark, name):
+        raise RuntimeError("a load with other columns was not recovered")
+    return spark.table(name)
+
+
+def drop_external_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An external table goes and its files stay; a managed table is refused and keeps its rows."""
+    table, _ = sales_fact(spark, sf_dir)
+    schema, base = scratch_schema(spark), scratch(spark)
+    path = export_table(spark, table, base, external=f"{schema}.ext")
+    load_table(scan(spark, path), f"{schema}.kept")
+    try:
+        drop_external(spark, f"{schema}.kept")
+        raise RuntimeError("a managed table was dropped as an external one")
+    except ValueError:
+        pass
+    if not drop_external(spark, f"{schema}.ext") or drop_external(spark, f"{schema}.ext"):
+        raise RuntimeError("the external table was not dropped")
+    return spark.table(f"{schema}.kept").unionByName(scan(spark, path))
+
+
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two schemas: how many of these the audit finds, and their rows united."""
+    target, prepared = scratch(spark), prep(_fact(spark, sf_dir))
+    odd = F.col("LineageKey") % 2 == 1
+    prepared.where(odd).drop("Package").write.parquet(target)
+    prepared.where(~odd).drop("Desc1").write.mode("append").parquet(target)
+    try:
+        scan(spark, target)
+        raise RuntimeError("files of different columns were read by one footer")
+    except ValueError:
+        pass
+    schemas = file_schemas(spark, target).count()
+    return scan(spark, target, drift="unite").select(*prepared.columns).withColumn("schemas", F.lit(schemas).cast("long"))
+
+
+def chain_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which steps ran in a chain whose load fails, and in the one that goes on after it, with the rows of each."""
+    table, _ = sales_fact(spark, sf_dir)
+    schema, base = scratch_schema(spark), scratch(spark)
+    first: dict[str, str] = {}
+    second: dict[str, str] = {}
+    try:
+        run_chain(spark, table, base, f"{schema}.loaded", partitions=0, on_step=first.__setitem__)
+    except ValueError:
+        first["load"] = "failed"
+    loaded = run_chain(spark, table, base, f"{schema}.loaded", resume=True, on_step=second.__setitem__)
+    counts = {"export": scan(spark, f"{base}/export"), "prep": scan(spark, f"{base}/prepared"), "load": spark.table(loaded)}
+    parts = [
+        df.agg(F.lit(step).alias("step"), F.lit(first[step]).alias("first_run"), F.lit(second[step]).alias("second_run"), F.count("*").alias("row_count"))
+        for step, df in counts.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def rejects_traced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows behind the rejects of a prep, found by file and row, with the rules they break."""
+    source, base = scratch(spark), scratch(spark)
+    _broken(spark, sf_dir).write.parquet(source)
+    run_prep(spark, source, f"{base}/accepted", declared=SALES_IMPORT, rejects=f"{base}/rejected", trace=True)
+    return trace_back(spark, source, scan(spark, f"{base}/rejected")).drop("source_file", "source_row")
+
+
+def rejects_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of every rule over the planted fact, from its rejects alone."""
+    _, rejected = split(_planted(spark, sf_dir), SALES_IMPORT)
+    files = scan(spark, write_parquet(rejected.withColumn("violations", F.array_join("violations", ",")), scratch(spark)))
+    return check_rejects(files, SALES_IMPORT)
+
+
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over broken rows, a file a batch, run again after its end: accepted and rejected rows of all batches."""
+    source, base = scratch(spark), scratch(spark)
+    broken = _broken(spark, sf_dir)
+    broken.repartition(3).write.parquet(source)
+    for _ in range(2):
+        prep_batches(spark, source, f"{base}/accepted", broken.schema, f"{base}/done", f"{base}/rejected", files_per_batch=1).awaitTermination()
+    both = scan(spark, f"{base}/accepted").unionByName(scan(spark, f"{base}/rejected"))
+    return both.drop("batch").withColumn("TaxRate", F.col("TaxRate").cast(SALES_IMPORT.schema()["TaxRate"].dataType))
+
+
+def import_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The import by a contract that is read from the table's definition."""
+    base = scratch(spark)
+    write_parquet(prep(_fact(spark, sf_dir)), f"{base}/prepared")
+    return import_external(spark, base, declared=read_ddl(f"CREATE TABLE imported ({SALES_DDL}) USING parquet"))
+
+
+def read_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a scan reads in about as many tasks as were asked for, for two numbers of tasks."""
+    target = scratch(spark)
+    scan(spark, f"{sf_dir}/lineitem.parquet").repartition(24).write.parquet(target)
+    parts = []
+    for tasks in (3, 12):
+        with read_in(spark, target, tasks):
+            read = scan(spark, target).groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()  # a row a task
+        near = tasks - 1 <= len(read) <= 2 * tasks
+        parts.append((tasks, near, sum(r["n"] for r in read)))
+    return spark.createDataFrame(parts, "wanted int, near boolean, row_count long")
+
+
 def full_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, _ = sales_fact(spark, sf_dir)
     schema = scratch_schema(spark)
@@ -294,6 +432,18 @@ def queries() -> dict[str, Query]:
         "contract_types": contract_types,
         "command_line": command_line,
         "chain_split": chain_split,
+        "load_recovered": load_recovered,
+        "drop_external_only": drop_external_only,
+        "schema_drift": schema_drift,
+        "chain_resumed": chain_resumed,
+        "rejects_traced": rejects_traced,
+        "rejects_counted": rejects_counted,
+        "stream_batches": stream_batches,
+        "import_ddl": import_ddl,
+        "read_splits": read_splits,
+        "cast_exponents": _cast_query(
+            "lineitem", "l_orderkey", i=(_EXPONENT, T.IntegerType()), b=(_EXPONENT, T.LongType()),
+        ),
         "full_pipeline": full_pipeline,
         **LLM_QUERIES,
     }
@@ -344,6 +494,19 @@ def oracle_sql() -> dict[str, str]:
         "contract_types": oracle.prepared_types(),
         "command_line": oracle.prepared(),
         "chain_split": oracle.chain_split(),
+        "load_recovered": f"SELECT *, 3 AS loaded FROM ({oracle.prepared()})",
+        "drop_external_only": f"{oracle.source(spaced=True)} UNION ALL {oracle.source(spaced=True)}",
+        "schema_drift": oracle.drifted(),
+        "chain_resumed": oracle.resumed(),
+        "rejects_traced": oracle.traced(),
+        "rejects_counted": oracle.all_counts(),
+        "stream_batches": oracle.chain_split(),
+        "import_ddl": oracle.imported(),
+        "read_splits": "SELECT unnest([3, 12]) AS wanted, true AS near, (SELECT count(*) FROM lineitem) AS row_count",
+        "cast_exponents": (
+            f"SELECT l_orderkey, try_cast({_SHIFTED} AS int) AS i, try_cast({_SHIFTED} AS bigint) AS b"
+            " FROM (SELECT *, CAST(l_orderkey AS hugeint) AS k FROM lineitem)"
+        ),
         "full_pipeline": oracle.imported(),
         **LLM_SQL,
     }

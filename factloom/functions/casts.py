@@ -21,9 +21,10 @@ _ANSI_NEEDED = {"null": None, "fail": "true", "legacy": "false"}
 # One above the largest value of the integers narrower than a double's 53 bits.
 _NARROW = {T.ByteType: 2**7, T.ShortType: 2**15, T.IntegerType: 2**31}
 
-_DECIMALS = r"\.\d+(?=\s*$)"
-# sign, digits before and after the point, exponent; at least one digit
-_EXPONENT = r"^\s*([+-]?)(?=\.?\d)(\d*)(?:\.(\d*))?[eE]([+-]?\d+)\s*$"
+#: Nought in any power, and any number in a power of ten below -99999, which only a longer text could make up for.
+_NOUGHT = r"^\s*[+-]?(?:(?:0+\.?0*|\.0+)[eE][+-]?\d+|(?:\d+\.?\d*|\.\d+)[eE]-0*[1-9]\d{5,})\s*$"
+#: A digit after 19 that count, or after a digit that was found by this.
+_BEYOND = r"(^\s*[+-]?[0.]*+(?:\.?\d){19}|\G(?!^))(\.?)\d"
 
 
 def require_mode(spark: SparkSession, on_error: str) -> None:
@@ -47,25 +48,6 @@ def _to_narrow_integer(number: Column, target: T.DataType) -> Column:
     return F.when((number > -bound - 1) & (number < bound), number.try_cast(target))
 
 
-def _shifted(text: Column) -> Column:
-    """The whole part of a number with an exponent, as text: the point is moved on the digits.
-
-    No digit is lost and none is rounded, whatever the length. More than 38 whole digits
-    become 39 nines, which no type holds.
-    """
-    part = lambda n: F.regexp_extract(text, _EXPONENT, n)
-    digits = F.concat(part(2), part(3))
-    significant = F.ltrim(digits, F.lit("0"))
-    # an exponent of over 38 digits is as good as one of 2 ** 40
-    far = F.when(part(4).startswith("-"), -(2**40)).otherwise(2**40)
-    exponent = F.coalesce(part(4).try_cast(T.DecimalType(38, 0)), far.cast(T.DecimalType(38, 0)))
-    exponent = F.greatest(F.least(exponent, F.lit(2**40)), F.lit(-(2**40))).cast("long")
-    whole = F.length(part(2)) + exponent - (F.length(digits) - F.length(significant))
-    shown = F.when((significant == "") | (whole <= 0), "0").when(whole > 38, "9" * 39).otherwise(
-        F.left(F.rpad(significant, whole.cast("int"), "0"), whole.cast("int")))
-    return F.concat(part(1), shown)
-
-
 def _text_to_integer(text: Column, target: T.DataType, on_error: str) -> Column:
     """The whole part of the number in ``text``; '23.0' and '23.7' are 23, '1.5e3' is 1500.
 
@@ -73,15 +55,19 @@ def _text_to_integer(text: Column, target: T.DataType, on_error: str) -> Column:
     integer (and is slow to say so), and a double loses digits of a 19-digit
     key. Up to nine bytes of text need no more than eight decimals, which fit
     the decimal that Spark keeps in one long; only what that leaves open, and
-    bad text, takes the wide decimal. Long fractions are rounded on that way, so
-    the digits after the point become one zero as text before; with an exponent, the
-    point is moved as text first. Digits are those of ASCII: other text is no number.
+    bad text, takes the wide decimal. Further decimals are rounded on that way, which
+    could make 1.99.. a 2, so as text before, every digit after the first 19 that
+    count becomes a zero: no integer has more, so its own digits stay, with or without an
+    exponent, and what is left has no more than 19 decimals or is below one. Digits are those of
+    ASCII: other text is no number.
     """
     short = text.try_cast(T.DecimalType(18, 8)).try_cast(target)
-    cut = F.regexp_replace(text, _DECIMALS, ".0")
     marked = F.contains(text, F.lit("e")) | F.contains(text, F.lit("E"))
-    exact = F.when(marked & text.rlike(_EXPONENT), _shifted(text)).otherwise(cut)
-    wide = _cast(_cast(exact, T.DecimalType(38, 18), on_error), target, on_error)
+    near = F.when(marked & (F.length(text) < 100_000), F.regexp_replace(text, _NOUGHT, "0")).otherwise(text)
+    # group 2, then a zero
+    cut = F.regexp_replace(near, _BEYOND, "$1$20")
+    # by way of a long: Spark takes a decimal to an int as a double, which rounds
+    wide = _cast(_cast(_cast(cut, T.DecimalType(38, 19), on_error), T.LongType(), on_error), target, on_error)
     read = F.coalesce(F.when(F.octet_length(text) <= 9, short), wide)
     return F.when(F.octet_length(text) == F.length(text), read).otherwise(_cast(text, target, on_error))
 

@@ -118,11 +118,11 @@ def _digest(*values: object) -> str:
 
 def _table_print(table: DataFrame) -> str | None:
     """A fingerprint of the files behind a table and of what a view makes of them; None if there is more behind it."""
-    plan = table._jdf.queryExecution().optimizedPlan()
-    paths = roots(table)
-    if plan.collectLeaves().size() != 1 or not plan.deterministic() or not paths:
+    plan, paths = table._jdf.queryExecution(), roots(table)
+    if plan.analyzed().collectLeaves().size() != 1 or not plan.analyzed().deterministic() or not paths:
         return None
-    shape = re.sub(r"#\d+L?", "", plan.toString())
+    # optimized, in which the day of a query is a value
+    shape = re.sub(r"#\d+L?", "", plan.optimizedPlan().toString())
     return f"{fingerprint(table.sparkSession, *paths)} {_digest(shape)}"
 
 

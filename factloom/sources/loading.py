@@ -156,13 +156,16 @@ def remove_leftovers(spark: SparkSession, name: str) -> list[str]:
     return gone
 
 
-def load_table(df: DataFrame, name: str, partitions: int | str | None = None, source: str | None = None) -> str:
+def load_table(
+    df: DataFrame, name: str, partitions: int | str | None = None, source: str | None = None, publish: bool = True
+) -> str:
     """Replace the managed table ``name`` by ``df``; return the name.
 
     The table is a heap: no buckets, no sort order, no partition columns. Rows are spread without regard
     to their values; see ``place`` for ``partitions``. A load that fails leaves the old table as it
     was; one that was killed is brought to its end by the next, or by ``recover_load``. ``source`` is
-    kept in the commit record, for who wants to know what the rows were made from.
+    kept in the commit record, for who wants to know what the rows were made from. Without ``publish``
+    the load is committed and the name goes on showing the old rows until ``recover_load``.
     """
     spark = df.sparkSession
     files, home = Storage(spark), versions_home(spark, name)
@@ -189,9 +192,10 @@ def load_table(df: DataFrame, name: str, partitions: int | str | None = None, so
         before = {"id": shown["id"], "location": table_location(spark, name)}
     record = {"id": number, "location": location, "staged": staged, "before": before, "source": source}
     files.write_note(f"{_commits(home)}/{seq:08d}.json", record)
-    record["seq"] = seq
-    _publish(spark, files, name, record)
-    _finish(spark, files, name, home, record)
+    if publish:
+        record["seq"] = seq
+        _publish(spark, files, name, record)
+        _finish(spark, files, name, home, record)
     return name
 
 

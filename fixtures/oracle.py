@@ -148,6 +148,28 @@ def prepared_types() -> str:
     )
 
 
+def all_counts() -> str:
+    return _count(_rules(), f"({planted()})")
+
+
+def drifted() -> str:
+    """Odd lines were written without their package, even ones without the derived text."""
+    gone = "CASE WHEN LineageKey % 2 = 1 THEN NULL ELSE Package END AS Package, CASE WHEN LineageKey % 2 = 0 THEN NULL ELSE Desc1 END AS Desc1"
+    return f"SELECT * REPLACE ({gone}), CAST(2 AS bigint) AS schemas FROM ({prepared()})"
+
+
+def resumed() -> str:
+    steps = "VALUES ('export', 'ran', 'skipped'), ('prep', 'ran', 'skipped'), ('load', 'failed', 'ran')"
+    return f"SELECT step, first_run, second_run, row_count FROM ({steps}) AS v(step, first_run, second_run), (SELECT count(*) AS row_count FROM ({source()}))"
+
+
+def traced() -> str:
+    """Raw rows: a quantity that is null, and a package of eleven times its text."""
+    broken = 'nullif("Quantity", 50) AS "Quantity", CASE WHEN "Package" = \'SMALL\' THEN repeat("Package", 11) ELSE "Package" END AS "Package"'
+    reasons = "concat_ws(',', CASE WHEN \"Package\" LIKE 'SMALLSMALL%' THEN 'Package_too_long' END, CASE WHEN \"Quantity\" IS NULL THEN 'Quantity_nulls' END)"
+    return f"SELECT *, {reasons} AS violations FROM (SELECT * REPLACE ({broken}) FROM ({source(spaced=True)})) WHERE {reasons} <> ''"
+
+
 def chain_split() -> str:
     broken = (
         "SELECT * REPLACE (nullif(Quantity, 50) AS Quantity,"

@@ -42,6 +42,16 @@ COLUMNS = (
     ("Lineage Key", "l_linenumber", "int"),
 )
 
+# The columns that the imported table declares.
+SALES_DDL = """
+SaleKey bigint NOT NULL, CityKey int NOT NULL, CustomerKey int NOT NULL, BillToCustomerKey int NOT NULL,
+StockItemKey int NOT NULL, InvoiceDateKey date NOT NULL, DeliveryDateKey date, SalespersonKey int NOT NULL,
+WWIInvoiceID int NOT NULL, Description varchar(100) NOT NULL, Package varchar(50) NOT NULL, Quantity int NOT NULL,
+UnitPrice decimal(18,2) NOT NULL, TaxRate decimal(18,3) NOT NULL, TotalExcludingTax decimal(18,2) NOT NULL,
+TaxAmount decimal(18,2) NOT NULL, Profit decimal(18,2) NOT NULL, TotalIncludingTax decimal(18,2) NOT NULL,
+TotalDryItems int NOT NULL, TotalChillerItems int NOT NULL, LineageKey int NOT NULL, Desc1 varchar(50) NOT NULL
+"""
+
 _JOINED = "{0} JOIN {1} ON l_orderkey = o_orderkey JOIN {2} ON l_partkey = p_partkey"
 
 

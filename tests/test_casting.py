@@ -146,6 +146,8 @@ EXPONENTS = {
     "1e99999999999999999999999999999999999999999": None, "0e99999999999999999999999": 0, "1e-99999999999999999999999999999999999999999": 0,
     "000000000000000012e-1": 1, ".000000000005e12": 5, "5.e00000000000000": 5, " 123456789e1 ": 1234567890, "123456789ex": None, "e123456789": None,
     ".e123456789": None, "123456789e": None, "123456789e1.5": None, "1" + "0" * 50 + "e-40": 10**10, "--123456789e1": None,
+    "1e-999999": 0, "123456789e-999999999": 0, "1.2.3456789e-999999": None, "0." + "0" * 120_000 + "7e120001": 7, "7" + "0" * 120_000 + "e-120000": 7,
+    "0.00000000000000000000": 0, ".99999999999999999999999": 0, "-0.9999999999999999999": 0, "9" * 19 + "." + "9" * 30: None, "1.9999999999999999999": 1,
 }
 
 
