@@ -36,7 +36,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _SPLIT = regex.compile(PATTERN)
 #: Pieces up to this many bytes are encoded in one go and remembered, up to CACHED of them.
 WHOLE = 48
-CACHED = 150_000
+CACHED = 300_000
 #: Characters that are split at a time.
 STEP = 1 << 16
 #: A piece of more characters is encoded as it comes.
