@@ -1,9 +1,9 @@
 """Main text of web pages by a tree-structured graphical model over the page's elements.
 
 Every element of the page is a node with two states, content or not. A node's own
-evidence is the chance of its features (tag, words of class and id, length of its text,
-share of link text) in either state; an edge holds the chance of a child's state given
-its parent's, by the kind of child. One upward and one downward pass of sum-product
+evidence is the chance of its features (tag, words of class and id, amount of its text and
+sentences, share of link text) in either state; an edge holds the chance of a child's state
+given its parent's, by the part that the child's tag has in HTML. One upward and one downward pass of sum-product
 messages give each node's marginal; text belongs to the page's main text where the
 marginal of its element is over one half.
 
@@ -13,8 +13,9 @@ article and the furniture. Features the tables do not know weigh nothing.
 
 Text is cut into blocks by block elements; white space in a block becomes one space, the
 block is trimmed, and blocks join in page order by a line feed. Character references are
-decoded once. Comments, scripts, styles, templates and declarations have no text. Unclosed
-and misnested tags are taken as browsers mostly do. A null or empty page, or one without
+decoded once. Comments, scripts, styles, templates and declarations have no text; an svg,
+select, template or iframe that nothing ends is empty, so that the page goes on after it. Unclosed
+and misnested tags are taken as browsers mostly do, in time that grows as the page. A null or empty page, or one without
 content, has an empty text; repeated rows keep theirs; other columns are not read.
 """
 
@@ -36,18 +37,28 @@ from pyspark.sql import functions as F
 SAMPLE = 2000
 #: One page of the labelled set counts as so many of the sample.
 LABEL_WEIGHT = 500
-_TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>)", re.S)
+_OPEN = re.compile(r"<(?:(!--)|[!?]|/(?![a-zA-Z])|(/?)([a-zA-Z][^\s/>]*+))")
+_COMMENT_END = re.compile(r"-?>|.*?--!?>", re.S)
+#: What is left of a tag: quotes hold a '>' only in an attribute's value; a quote that nothing closes is a character.
+_REST = re.compile(r"([^>=]*+(?:=\s*+(?:\"[^\"]*+\"|'[^']*+')?+[^>=]*+)*+)>")
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
-# Elements of HTML without end tags, with raw text, that form blocks, and what an opening tag closes.
+_STOP = re.compile(r"[.!?](?=\s|\Z)")
+# Elements of HTML without end tags, with raw text, without visible text, that form blocks, and what an
+# opening tag closes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg select option".split())
+RAW = frozenset("script style textarea title iframe".split())
+HIDDEN = frozenset("noscript template svg select datalist".split())
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption"
     " figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table"
     " tbody td tfoot th thead tr ul".split())
 ENDS_P = BLOCKS - frozenset("caption td th tr tbody thead tfoot html head body legend li dd dt".split()) | {"li", "dd", "dt"}
-SAME = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
+SAME = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select", "datalist"}}
+ALIKE = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
+TEXT_TAGS = frozenset(
+    "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd pre blockquote figure figcaption caption table tr tbody thead tfoot address details"
+    " summary legend fieldset".split())
 FURNITURE_TAGS = frozenset("nav footer aside form header menu dialog button".split())
 FURNITURE_WORDS = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies footer header menu"
@@ -65,6 +76,9 @@ class Node:
     chars: int = 0
     link_chars: int = 0
     children: int = 0
+    paragraphs: int = 0
+    own: int = 0
+    stops: int = 0
 
 
 @dataclass
@@ -74,113 +88,178 @@ class Page:
     texts: list[tuple[int, str | None]] = field(default_factory=list)
 
 
+class _Open:
+    """The open elements: a stack of nodes, and for each tag (and for blocks) the depths where it is open.
+
+    Every question is answered from the last depth of a tag, so a page costs time in
+    proportion to its length, however its tags are nested.
+    """
+
+    def __init__(self, page: Page) -> None:
+        self.page, self.stack = page, [0]
+        self.depths: dict[str, list[int]] = {}
+        self.hidden = 0  # the depth of the outermost element without visible text
+
+    def last(self, *tags: str) -> int:
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
+
+    def push(self, node: int, tag: str) -> None:
+        depth = len(self.stack)
+        self.depths.setdefault(tag, []).append(depth)
+        if tag in BLOCKS:
+            self.depths.setdefault("#block", []).append(depth)
+        if tag in HIDDEN and not self.hidden:
+            self.hidden = depth
+        self.stack.append(node)
+
+    def close(self, down_to: int) -> None:
+        while len(self.stack) > down_to:
+            tag = self.page.nodes[self.stack[-1]].tag
+            self.depths[tag].pop()
+            if tag in BLOCKS:
+                self.depths["#block"].pop()
+                self.page.texts.append((self.stack[-1], None))
+            self.stack.pop()
+        if self.hidden >= down_to:
+            self.hidden = 0
+
+    def end(self, tag: str) -> None:
+        """An end tag. An inline one does not close blocks; one without its element does nothing."""
+        depth = self.last(tag)
+        if depth and (tag in BLOCKS or depth > self.last("#block")):
+            self.close(depth)
+
+    def make_way(self, tag: str) -> None:
+        """Closes what the start of ``tag`` ends."""
+        if tag in ENDS_P and (depth := self.last("p")) and depth == self.last("#block"):
+            self.close(depth)
+        if tag in SAME and (depth := self.last(*ALIKE.get(tag, (tag,)))) > self.last(*SAME[tag]):
+            self.close(depth)
+
+
 def parse(source: str) -> Page:
+    """The elements and texts of a page, in one pass over it."""
     page = Page([Node("#page", -1)])
     nodes, texts = page.nodes, page.texts
-    stack = [0]
+    opened = _Open(page)
+    stack = opened.stack
     at, size = 0, len(source)
+    heed_quotes = True  # until a tag's quotes would leave it open to the end of the page
+    last_end: dict[str, int] = {}
 
-    def text(start: int, end: int) -> None:
-        if start < end:
-            texts.append((stack[-1], source[start:end]))
-
-    def close(down_to: int) -> None:
-        while len(stack) > down_to:
-            if nodes[stack[-1]].tag in BLOCKS:
-                texts.append((stack[-1], None))
-            stack.pop()
+    def ends_after(tag: str) -> bool:
+        if tag not in last_end:
+            last_end[tag] = max((m.start() for m in re.finditer(rf"</{re.escape(tag)}(?=[\s/>])", source, re.I)), default=-1)
+        return last_end[tag] >= at
 
     while at < size:
-        m = _TAG.search(source, at)
+        m = _OPEN.search(source, at)
+        start = m.start() if m else size
+        if at < start and not opened.hidden:
+            texts.append((stack[-1], source[at:start]))
         if not m:
-            text(at, size)
             break
-        text(at, m.start())
         at = m.end()
-        if m[2] is None:
+        if m[3] is None:
+            if m[1]:
+                end = _COMMENT_END.match(source, at)
+                at = end.end() if end else size
+            else:
+                at = source.find(">", at) + 1 or size
             continue
-        tag = m[2].lower()
-        if m[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                open_tag = nodes[stack[depth]].tag
-                if open_tag == tag:
-                    close(depth)
-                    break
-                # an inline end tag does not close blocks
-                if open_tag in BLOCKS and tag not in BLOCKS:
-                    break
+        tag = m[3].lower()
+        rest = _REST.match(source, at) if heed_quotes else None
+        if rest:
+            attributes, at = rest[1], rest.end()
+        else:
+            heed_quotes = False
+            end = source.find(">", at)
+            attributes, at = (source[at:end], end + 1) if end >= 0 else ("", size)
+            if at == size and end < 0:
+                break  # a tag that does not end is no text
+        if m[2]:
+            opened.end(tag)
             continue
-        if tag in ENDS_P:
-            for depth in range(len(stack) - 1, 0, -1):
-                open_tag = nodes[stack[depth]].tag
-                if open_tag == "p":
-                    close(depth)
-                    break
-                if open_tag in BLOCKS:
-                    break
-        if tag in SAME:
-            for depth in range(len(stack) - 1, 0, -1):
-                open_tag = nodes[stack[depth]].tag
-                if open_tag == tag or (tag in ("dt", "dd") and open_tag in ("dt", "dd")) or (tag in ("td", "th") and open_tag in ("td", "th")):
-                    close(depth)
-                    break
-                if open_tag in SAME[tag]:
-                    break
+        opened.make_way(tag)
         if tag in BLOCKS or tag in ("br", "hr"):
             texts.append((stack[-1], None if tag != "br" else " "))
         if tag in VOID:
             continue
         words, label = (), ""
-        if m[3]:
-            found = _ATTRIBUTE.findall(m[3])
+        if attributes:
+            found = _ATTRIBUTE.findall(attributes)
             words = tuple(sorted({w for f in found for w in _WORD.findall(" ".join(f[1:]).lower())}))
-            if "data-y" in m[3]:
-                label = m[3][m[3].index("data-y") + 7 :].strip("\"'")[:1]
+            if "data-y" in attributes:
+                label = attributes[attributes.index("data-y") + 7 :].strip("\"'")[:1]
         node = len(nodes)
         nodes.append(Node(tag, stack[-1], words, label))
         nodes[stack[-1]].children += 1
+        nodes[stack[-1]].paragraphs += tag == "p"
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-            at = end.end() if end else size
+            if ends_after(tag):
+                end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(source, at)
+                at = end.end()
+            elif tag != "iframe":
+                at = size
+            continue
+        if tag in HIDDEN and not ends_after(tag):
             continue
-        if not m[3].endswith("/") or tag in BLOCKS:
-            stack.append(node)
-    close(0)
+        if not attributes.endswith("/") or tag in BLOCKS:
+            opened.push(node, tag)
+    opened.close(1)
     for node, words in texts:
         if words:
             nodes[node].chars += len(words)
+            nodes[node].own += len(words)
+            nodes[node].stops += len(_STOP.findall(words))
     for n in range(len(nodes) - 1, 0, -1):  # children come after their parents
         own, up = nodes[n], nodes[nodes[n].parent]
         up.chars += own.chars
+        if own.tag not in BLOCKS:
+            up.own += own.own
+        up.stops += own.stops
         up.link_chars += own.chars if own.tag == "a" else own.link_chars
     return page
 
 
+def kind(node: Node) -> str:
+    """What an edge's table depends on: the element's part in HTML, by its tag, and whether a div or the like has a name.
+
+    A table's cell of mere text is text.
+    """
+    if node.tag in CONTENT_TAGS:
+        return "article"
+    if node.tag in FURNITURE_TAGS:  # a header is the article's or the site's
+        return "header" if node.tag == "header" else "furniture"
+    if node.tag in TEXT_TAGS or (node.tag in ("td", "th") and not node.children):
+        return "text"
+    return "inline" if node.tag not in BLOCKS else "named" if node.words else "unnamed"
+
+
 def features(node: Node) -> list[str]:
-    """What is observed of a node."""
+    """What is observed of a node.
+
+    Paragraphs and inline elements mostly share the state of what holds them, and many of
+    them are no more evidence than their sum: what their text is like is observed of the holder.
+    """
     share = node.link_chars / node.chars if node.chars else 0.0
-    return [
-        f"tag:{node.tag}", f"links:{int(share * 3.99)}", f"length:{min(int(math.log2(node.chars + 1)), 12) // 3}",
-        *[f"word:{w}" for w in node.words],
+    names = [f"word:{w}" for w in node.words]
+    part = kind(node)
+    if part in ("text", "inline"):
+        return names + (["a list of links"] if node.tag in ("ul", "ol") and share > 0.75 else [])
+    return names + [
+        f"tag:{node.tag}", f"links:{int(share * 3.99)}", f"own:{min(int(math.log2(node.own + 1)), 9) // 3}",
+        f"stops:{min(node.stops, 7) // 2}", f"paragraphs:{min(node.paragraphs, 3)}",
     ]
 
 
-def kind(node: Node) -> str:
-    """What an edge's table depends on."""
-    if node.tag in CONTENT_TAGS or any(w in ("article", "content", "post", "entry", "story", "main") for w in node.words):
-        return "article"
-    if node.tag in FURNITURE_TAGS or FURNITURE_WORDS.intersection(node.words):
-        return "furniture"
-    return "plain"
-
-
 def named_states(page: Page) -> list[int] | None:
     """States by the page's own mark-up: inside an article and in no furniture. None if it names no article."""
     states, seen = [], False
     for node in page.nodes:
         above = states[node.parent] if node.parent >= 0 else 0
-        k = kind(node)
-        state = 0 if k == "furniture" else 1 if node.tag in CONTENT_TAGS else above
+        named = node.tag in FURNITURE_TAGS or FURNITURE_WORDS.intersection(node.words)
+        state = 0 if named else 1 if node.tag in CONTENT_TAGS else above
         seen |= node.tag in CONTENT_TAGS
         states.append(state)
     return states if seen else None
@@ -201,13 +280,54 @@ LABELLED = (
     "<aside class=sidebar><p>Read this too, it may be of use.</p></aside><section id=comments><div class=comment>First!</div></section>"
     "<footer><p>All rights reserved</p></footer></body></html>",
     "<body><div class=cookie-notice>We use cookies <button>Yes</button></div><div id=menu><a>A</a><a>B</a></div><div id=content"
-    " data-y=1><h2>On the matter</h2><div><p>One paragraph with <b>bold</b> and <a>a link</a> in it.</p><blockquote>Quoted text"
+    " data-y=1><h2>On the matter</h2><div><p>One paragraph with <b>bold</b> and <a>a link</a> in it. And one more sentence.</p><blockquote>Quoted text"
     " of someone</blockquote><ul><li>first point<li>second point</ul></div><div class='ad banner' data-y=0>Buy now</div>"
     "<form class=newsletter data-y=0>Subscribe <input></form><p>The last paragraph says the rest.</p></div><div class=footer>Imprint</div></body>",
-    "<body><article class=post data-y=1><header><h1>Title of it</h1></header><section><p>Para one of the text, rather long.</p>"
+    "<body><article class=post data-y=1><header><h1>Title of it</h1></header><section><p>Para one of the text, rather long. It goes on. And on.</p><p>Para two.</p>"
     "<figure><figcaption>What is seen here</figcaption></figure><table><tr><td>cell</td></tr></table><pre>code</pre></section>"
     "<div class='share social' data-y=0><a>Share</a></div><div class=comments data-y=0><p>I do not agree with this at all.</p></div>"
     "</article><div class=sponsored><p>A word of our sponsor, which is long.</p></div><form><p>Search the site</p></form></body>",
+    "<body><div class=wrap><div class=top><a href=/>Start</a> <a>Shop</a> <a>Help</a></div><div class=text "
+    "data-y=1><h1>Rain in the valley</h1><p>It rained for nine days. The river rose by a metre, and the road was "
+    "closed.</p><p>On the tenth day the sun came out. People went back to their fields.</p><p>Nobody was hurt, said the "
+    "mayor.</p></div><div class=right><ul><li><a>Older</a><li><a>Newer</a></ul></div></div><div class=bottom><a>Terms</a> "
+    "<a>Privacy</a></div></body>",
+    "<body><table><tr><td><a>Index</a><br><a>Maps</a><br><a>Links</a></td><td data-y=1><h2>The old mill</h2><p>The mill was"
+    " built in 1702. It burnt down twice, and was rebuilt both times.</p><p>Today it is a museum. Visitors can see the "
+    "great wheel turn.</p></td></tr></table></body>",
+    "<body><div><div><a>News</a><a>Sport</a><a>Weather</a></div><div data-y=1><h1>Bread at home</h1><p>Mix the flour with "
+    "water. Let it rest for an hour.</p><ol><li>Knead the dough.</li><li>Shape a loaf.</li><li>Bake it until "
+    "brown.</li></ol><p>Let it cool before you cut it. It keeps for a week.</p></div><div><p>Log in or "
+    "register</p><a>Forgot it?</a></div></div></body>",
+    "<body><nav><a>Papers</a></nav><main data-y=1><h1>On sorting</h1><p>Sorting is old. We give a new bound for it.</p><div"
+    " class=related-work><h2>Related work</h2><p>Many have studied this before. Their bounds are weaker than ours.</p><p>We"
+    " follow the first of them.</p></div><section id=share-of-markets><p>The share of large inputs grows. Small ones "
+    "stay.</p></section></main><footer>Press</footer></body>",
+    "<body><div id=header><a>Law review</a></div><div id=article data-y=1><h1>The statute</h1><div class='comment "
+    "on-the-law'><p>The law is short. It has been read in two ways for years.</p><p>Both readings have merits. A court will"
+    " have to choose.</p></div><div class=notice-of-appeal><p>The notice was filed in May. The court heard it in "
+    "June.</p></div></div><div id=sidebar><a>Archive</a><a>About</a></div></body>",
+    "<body><article data-y=1><header><h1>A banner year</h1><p>By a writer of ours. Published on Monday.</p></header><div "
+    "class='menu of-the-day'><h2>What they cooked</h2><p>The menu had six courses. All of them were good.</p><p>The last "
+    "was the best one.</p></div><p>We shall go back. You should too.</p><aside data-y=0><a>Other "
+    "places</a></aside></article><div class=promo><p>Win a dinner for two!</p></div></body>",
+    "<body><div class=nav><a>A</a><a>B</a></div><div class=post data-y=1><h2>Two tables</h2><div><p>The first table has the"
+    " rivers. They are long.</p><p>It is from a map.</p></div><table><tr><th>river</th><th>km</th></tr><tr><td>Elbe</td><td>1094</td></tr>"
+    "</table><div class=part><p>The second has hills.</p><p>No hill is as high. None is as old.</p><table><tr><td>Brocken</td><td>1141</td></tr>"
+    "</table></div><div><p>Both are from one book. It is old.</p></div><div><p>Its maps are new. <a>All of them</a> are here.</p></div></div>"
+    "<div class=footer><div>Imprint</div></div></body>",
+    "<body><div class=page><div class=story data-y=1><p>The bridge opened today. Ten thousand walked over it in the first "
+    "hour.</p><p>It had taken six years. The cost was twice the plan.</p><div class='advert' data-y=0><p>Our cars are the "
+    "best. Come and try one today.</p></div><p>The old bridge will go. Work on that starts in spring.</p></div><div "
+    "class=comments><div class=comment><p>I was there too. It was very crowded.</p></div><div class=reply><p>So was I. It "
+    "was fun.</p></div></div><div class='cookie notice'><p>We use cookies. Do you agree to "
+    "that?</p><button>Yes</button></div></div></body>",
+    "<body><div class=header><p>The daily paper. Since 1901.</p></div><div class=columns><div class=left><ul "
+    "class=menu><li><a>Home</a><li><a>World</a></ul></div><div class=entry data-y=1><h3>Chess</h3><p>White won in forty "
+    "moves. It was a quiet game at first.</p><p>Black then gave up a knight. That was a mistake.</p><div class=share "
+    "data-y=0><a>Post</a> <a>Mail</a></div></div><div class=related><p>Read this next. You will like "
+    "it.</p><a>Go</a></div></div><div class=newsletter><p>Get our letter. It is free of "
+    "charge.</p><form><input></form></div><div class=footer><p>All rights reserved. Do not copy.</p></div></body>",
 )
 
 
@@ -225,7 +345,7 @@ class Model:
         names = {k[0] for k in counts if len(k) == 2}
         evidence = {f: tuple(math.log((counts[f, s] + 0.5) / totals[s]) for s in (0, 1)) for f in names if f != "tag:*"}
         edges = {}
-        for k in ("article", "furniture", "plain"):
+        for k in ("article", "furniture", "header", "text", "named", "unnamed", "inline"):
             table = np.array([[counts[k, up, s] + 0.5 for s in (0, 1)] for up in (0, 1)])
             edges[k] = np.log(table / table.sum(1, keepdims=True))
         return cls(evidence, edges)

@@ -1,6 +1,11 @@
+import html
+import os
 import random
+import re
+import time
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from factloom.llm import extraction, kdtree, language
@@ -148,3 +153,63 @@ def test_marginals_match_all_states():
 def test_very_deep_pages_do_not_recurse():
     source = "<div>" * 20_000 + "x"
     assert len(extraction.Model.fitted(extraction.Counter()).marginals(extraction.parse(source))) == 20_001
+
+
+GIVEN = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+
+
+def article(source):
+    """The text of a given page's only article, by its mark-up."""
+    inner = re.sub(r"\s+", " ", re.search(r"<article>(.*)</article>", source, re.S)[1])
+    lines = re.sub(r"</?(?:p|h1|h2|h3|div|ul|li|blockquote)[^>]*>", "\n", inner.replace("<br>", " "))
+    lines = html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<!--.*?-->", "", lines, flags=re.S))).split("\n")
+    return "\n".join(x for x in (" ".join(line.split()) for line in lines) if x)
+
+
+@pytest.mark.parametrize("named", [True, False])
+def test_all_given_pages(spark, named):
+    """Every given page, and every one without its class names."""
+    pages = spark.read.parquet(f"{GIVEN}/pages.parquet").select("page_id", "url", "html")
+    model = extraction.fit(pages)
+    shown = pages if named else pages.withColumn("html", F.regexp_replace("html", ' class="[^"]*"', ""))
+    got = {r.page_id: r.text for r in extraction.extract(shown, model).collect()}
+    assert got == {r.page_id: article(r.html) for r in pages.collect()}
+
+
+def fitted_on(labelled):
+    counts = extraction.Counter()
+    for source in labelled:
+        page = extraction.parse(source)
+        extraction.counted(page, extraction.labelled_states(page), counts)
+    return extraction.Model.fitted(counts)
+
+
+def test_labelled_pages_that_were_left_out():
+    """Each labelled page by a model of the others alone, which differ from it: most texts are judged right."""
+    right = texts = 0
+    for n, source in enumerate(extraction.LABELLED):
+        page = extraction.parse(source)
+        chances = fitted_on(extraction.LABELLED[:n] + extraction.LABELLED[n + 1 :]).marginals(page)
+        states = extraction.labelled_states(page)
+        judged = [(chances[i] > 0.5) == bool(states[i]) for i, text in page.texts if text and text.strip()]
+        right, texts = right + sum(judged), texts + len(judged)
+    assert texts > 100 and right / texts > 0.6
+
+
+@pytest.mark.parametrize("inside", [
+    "<p><svg viewBox='0 0 9 9'/>Rest.</p>", "<p><svg>Rest.</p>", "<datalist><option value=a><option value=b></datalist><p>Rest.</p>",
+    "<iframe src=x><p>Rest.</p>", "<noscript><p>Rest.</p>", "<template><p>not this</p></template><p>Rest.</p>",
+    "<select><option>no<option>nor this</select><p>Rest.</p>", "<p don't>Rest.</p>", "<p title='a > b'>Rest.</p>", "<!--><p>Rest.</p>",
+    "<p></ b></>Rest.</p>", "<style>p{}</style ><p>Rest.</p>"])
+def test_nothing_eats_the_rest_of_an_article(inside):
+    page = extraction.parse(f"<body><article><p>Start.</p>{inside}<p>End.</p></article><footer>F</footer></body>")
+    below = lambda i: i > 0 and (page.nodes[i].tag == "article" or below(page.nodes[i].parent))
+    assert "".join(text for i, text in page.texts if text and below(i)) == "Start.Rest.End."
+
+
+@pytest.mark.parametrize("piece", [
+    '<a b="', "<i>", "</u>", '<a b=">"', "<!", "<!--", "<script>", "<svg>", "<p don't>x ", "<a b='x>", "<iframe>", "<li>", "<a =", "<u><div>", "</"])
+def test_hostile_pages_take_time_in_proportion(piece):
+    began = time.monotonic()
+    extraction.parse("<u><div>" + "<i>" * 20_000 + piece * 40_000 + "</u>" * 20_000)
+    assert time.monotonic() - began < 10
