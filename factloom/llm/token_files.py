@@ -8,10 +8,12 @@ partitions' totals and lie in the table ``bases``. Readers map the files into me
 add the base. The folder must be a file system that every executor mounts.
 
 A task writes under a name of its own and renames at the end, so a task that runs again
-leaves whole files. Partitions are ranges of doc_id of about equal numbers of ids; rows
-with one doc_id lie together, in the order of their text's hash. A null text is an empty
-one and has only the end id; rows with a null doc_id come before all others, in files of
-their own; an empty table writes no files; other columns of the input are not read.
+leaves whole files. Partitions are ranges of doc_id of about equal bytes of text: bytes are
+counted in cells between quantiles of doc_id and taken to be even within a cell. Rows
+with one doc_id lie together, in the order of their text's hash, however many they are. A null
+text is an empty one and has only the end id; rows with a null doc_id come before all others, in
+the order of their text's hash and in files of their own; an empty table writes no files; other
+columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -41,8 +43,8 @@ CACHED = 700_000
 IDS_PER_FILE = 64 << 20
 #: Vocabulary files of up to this many ids use 16 bits.
 NARROW = 1 << 16
-#: The part of rows without a doc_id.
-NO_ID = -1
+#: Quantiles of doc_id between which bytes of text are counted.
+CELLS = 4096
 _ENDS = (".bin", ".off", ".doc")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
@@ -124,10 +126,11 @@ def _tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def encoded(docs: DataFrame, path: str, end_id: int, bounds: list[int]) -> DataFrame:
+def encoded(docs: DataFrame, path: str, end_id: int, bounds: list[int], nameless: int = 1) -> DataFrame:
     """(part, doc_id, order, n, kind, ids): each text's ids with ``end_id`` after them, as bytes.
 
-    ``part`` is the number of ``bounds`` up to doc_id, or NO_ID.
+    ``part`` is the number of ``bounds`` up to doc_id. Rows without one have the ``nameless``
+    parts below 0, by ranges of their text's hash.
     """
     limits = np.array(bounds, np.int64)
 
@@ -138,7 +141,9 @@ def encoded(docs: DataFrame, path: str, end_id: int, bounds: list[int]) -> DataF
         for batch in batches:
             numbers = pc.fill_null(batch.column("doc_id"), 0).to_numpy()
             parts = np.searchsorted(limits, numbers, side="right")
-            parts[~pc.is_valid(batch.column("doc_id")).to_numpy(zero_copy_only=False)] = NO_ID
+            none = ~pc.is_valid(batch.column("doc_id")).to_numpy(zero_copy_only=False)
+            share = batch.column("order").to_numpy()[none] / 2.0**64 + 0.5
+            parts[none] = np.minimum(share * nameless, nameless - 1).astype(np.int64) - nameless
             ids = [x + end for x in tokenizer.encode(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(parts, pa.int64()), batch.column("doc_id"), batch.column("order"),
@@ -161,7 +166,7 @@ class _Files:
     """The three files of one part, under names of their own until they are whole."""
 
     def __init__(self, place: str, part: int) -> None:
-        self.part, self.name = part, "part-none" if part == NO_ID else f"part-{part:06d}"
+        self.part, self.name = part, f"part-{part:06d}" if part >= 0 else f"part-none-{-part:06d}"
         self._place, self._own = place, f"{place}/.{self.name}-{uuid.uuid4().hex}"
         os.makedirs(place, exist_ok=True)
         self._ids, self._offsets, self._docs = (open(self._own + end, "wb") for end in _ENDS)  # noqa: SIM115
@@ -205,19 +210,54 @@ def _writing(place: str):
     return run
 
 
+def cells(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """At most CELLS quantiles of doc_id, and the bytes of text without a doc_id, then up to each quantile from the one before."""
+    shares = [n / CELLS for n in range(CELLS + 1)]
+    found = docs.agg(F.percentile_approx("doc_id", shares, 10 * CELLS)).first()[0]
+    limits = np.array(sorted(set(found or [])), np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(len(limits) + 1, np.int64)
+        for batch in batches:
+            numbers = pc.fill_null(batch.column(0), 0).to_numpy()
+            cell = np.minimum(np.searchsorted(limits, numbers) + 1, len(limits))
+            cell[~pc.is_valid(batch.column(0)).to_numpy(zero_copy_only=False)] = 0
+            np.add.at(sums, cell, pc.fill_null(batch.column(1), 0).to_numpy())
+        kept = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_pydict({"cell": pa.array(kept, pa.int64()), "bytes": pa.array(sums[kept], pa.int64())})
+
+    rows = docs.select("doc_id", F.octet_length("text").cast("long")).mapInArrow(count, "cell long, bytes long")
+    sizes = np.zeros(len(limits) + 1, np.int64)
+    for r in rows.groupBy("cell").agg(F.sum("bytes").alias("bytes")).collect():  # at most CELLS + 1 rows
+        sizes[r["cell"]] = r["bytes"]
+    return limits, sizes
+
+
+def even_bounds(limits: np.ndarray, sizes: np.ndarray, each: int) -> list[int]:
+    """The doc_ids at which ranges of about ``each`` bytes begin."""
+    if not len(limits):
+        return []
+    ends, bounds, cell = np.cumsum(sizes).tolist(), set(), 0
+    for at in range(each, ends[-1], each):
+        while ends[cell] <= at:
+            cell += 1
+        before, low = (ends[cell - 1], int(limits[cell - 1])) if cell else (0, int(limits[0]) - 1)
+        bounds.add(low + 1 + (int(limits[cell]) - low) * (at - before) // (ends[cell] - before))
+    return sorted(b for b in bounds if b > limits[0])
+
+
 def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int) -> DataFrame:
     """Writes the files; returns the table (part, docs, ids, base, kind, name)."""
     place = local_folder(folder)
-    size = docs.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
+    limits, sizes = cells(docs)
+    total = int(sizes.sum())
     # an id stands for some two bytes of text or more
-    files = max(partitions_for(size, 2 * IDS_PER_FILE), min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), partitions_for(size, 1 << 22)))
-    bounds: list[int] = []
-    if files > 1:  # one number for each file
-        shares = [n / files for n in range(1, files)]
-        found = docs.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * files))).first()[0]
-        bounds = sorted(set(found or []))
-    rows = encoded(docs, path, end_id, bounds)
-    ordered = rows.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", "doc_id", "order")
+    files = max(partitions_for(total, 2 * IDS_PER_FILE), min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), partitions_for(total, 1 << 22)))
+    each = max(1, total // files)
+    bounds, nameless = even_bounds(limits, sizes[1:], each), partitions_for(int(sizes[0]), each)
+    rows = encoded(docs, path, end_id, bounds, nameless)
+    placed = rows.repartitionById(len(bounds) + 1 + nameless, (F.col("part") + nameless).cast("int"))
+    ordered = placed.sortWithinPartitions("part", "doc_id", "order")
     parts = stored(ordered.mapInArrow(_writing(place), "part long, docs long, ids long, kind string, name string"), "token-parts")
     # one row for each file
     return parts.selectExpr("part", "docs", "ids", "sum(ids) OVER (ORDER BY part) - ids AS base", "kind", "name")
@@ -237,13 +277,14 @@ def read_token_files(bases: DataFrame, folder: str) -> DataFrame:
                     cut = offsets[at : at + 10_001]
                     sums = [zlib.crc32(ids[i:j].astype("<u4").tobytes()) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
                     ids_of = pd.array(doc_ids[at : at + 10_000], "Int64")
-                    if r.part == NO_ID:
+                    if r.part < 0:
                         ids_of[:] = pd.NA
                     yield pd.DataFrame({"doc_id": ids_of, "start": cut[:-1] + r.base,
                                         "n_tokens": np.diff(cut), "ids_crc32": np.array(sums, np.int64)})
 
     n = int(bases.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return bases.repartition(n, "part").mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    spread = bases.repartitionById(n, F.pmod("part", F.lit(n)).cast("int"))
+    return spread.mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def new_folder(spark: SparkSession) -> str:

@@ -111,3 +111,25 @@ def test_no_files_of_an_empty_table(spark, tmp_path):
 def test_files_need_a_mounted_folder():
     with pytest.raises(ValueError, match="mounted"):
         token_files.local_folder("s3a://bucket/x")
+
+
+def test_files_of_about_equal_bytes(spark, tmp_path, monkeypatch):
+    """Long texts at one end of the ids, and rows without an id, do not make large files; every file has a task of its own."""
+    monkeypatch.setattr(token_files, "IDS_PER_FILE", 2_000)
+    texts = ["word " * (400 if i < 60 else 4) for i in range(600)] + ["other words " * 40 + str(i) for i in range(120)]
+    frame = docs(spark, texts, [*range(600), *[None] * 120])
+    bases = token_files.write_token_files(frame, str(tmp_path / "f"), WORD, 2)
+    parts = sorted(bases.collect(), key=lambda r: r.part)
+    assert sum(r.docs for r in parts) == 720 and sum(r.part < 0 for r in parts) > 5 and sum(r.part >= 0 for r in parts) > 20
+    assert max(r.ids for r in parts) < 4 * sum(r.ids for r in parts) / len(parts)
+    got = token_files.read_token_files(bases, str(tmp_path / "f")).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None] * 120 + [*range(600)]
+    assert [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(720)]
+
+
+def test_bounds_between_cells():
+    limits, sizes = np.array([-(2**62), 0, 10, 20]), np.array([0, 5, 100, 100])
+    bounds = token_files.even_bounds(limits, sizes, 50)
+    assert bounds == sorted(bounds) and len(bounds) == 4 and all(-(2**62) < b <= 21 for b in bounds)
+    assert token_files.even_bounds(np.zeros(0, np.int64), np.zeros(0, np.int64), 5) == []
+    assert token_files.even_bounds(np.array([7]), np.array([0]), 1) == []
