@@ -9,9 +9,9 @@ phrase is in its cycle and none can be activated.
 
 Running counts lie in a table that each step replaces: phrases whose cycle is over leave it, those
 under the threshold for good. Workers learn the first step of a phrase from an array of 2**bits bytes:
-at the hash of a subphrase it holds the step from which it may be built upon. Two phrases in
-one place only make a longer one active early, from one step that all workers agree on, so its
-cycle is still one full cycle. The array grows with the corpus up to ``MOST_BITS``; when it is full,
+at the hash of a subphrase it holds the step from which it may be built upon, which is never before
+the subphrase's own first step, whatever its place holds. Two phrases in one place only make a longer
+one active early, from one step that all workers agree on, so its cycle is still one full cycle. The array grows with the corpus up to ``MOST_BITS``; when it is full,
 more is counted, and no result changes.
 
 Of each candidate the cut into two parts with the least score floor(``SCALE`` * a / (l + r)) counts,
@@ -144,7 +144,9 @@ def count_chunk(text: bytes, lang: str, step: int, shards: int, firsts: np.ndarr
         n = len(may) - 1
         head, may = np.zeros(n, np.uint64), np.zeros(n, np.uint8)
         head[alive] = longer
-        may[alive] = firsts[_place(longer, lang, bits)]
+        own = firsts[_place(longer, lang, bits)]
+        # another phrase may have marked the place before this one was counted at all
+        may[alive] = np.where(own > 0, np.maximum(own, first), 0)
 
 
 def _counting(step: int, shards: int, given, bits: int):

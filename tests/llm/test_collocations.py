@@ -101,3 +101,14 @@ def test_awkward_rows_and_an_empty_table(spark):
     empty = collocations.collocations(docs(spark, []))
     assert empty.count() == 0
     assert empty.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+@pytest.mark.parametrize("bits", [8, 5])
+def test_a_place_that_was_marked_early_does_not_cut_the_cycle_of_a_longer_phrase(spark, monkeypatch, bits):
+    # some phrases meet the first step of others that were there before their own parts had reached the threshold
+    monkeypatch.setattr(collocations, "LEAST_BITS", bits)
+    monkeypatch.setattr(collocations, "MOST_BITS", bits)
+    rows = [("en", t) for t in sentences(0, 400, 12)]
+    frame = spark.createDataFrame([(i, t, lang, "s", 1) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = collocations.collocations(frame, least=8).collect()
+    assert sorted(tuple(r) for r in got) == by_hand(rows, 8)
