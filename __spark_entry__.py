@@ -330,7 +330,7 @@ def chain_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rejects_traced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw rows behind the rejects of a prep, found by file and row, with the rules they break."""
     source, base = scratch(spark), scratch(spark)
-    _broken(spark, sf_dir).write.parquet(source)
+    _broken(spark, sf_dir).write.option("compression", "zstd").parquet(source)
     run_prep(spark, source, f"{base}/accepted", declared=SALES_IMPORT, rejects=f"{base}/rejected", trace=True)
     return trace_back(spark, source, scan(spark, f"{base}/rejected")).drop("source_file", "source_row")
 

@@ -33,5 +33,8 @@ def compiled_methods(spark: SparkSession) -> AbstractContextManager[None]:
 
 
 def writers_side_by_side(spark: SparkSession, most: int) -> AbstractContextManager[None]:
-    """Within this, a task keeps files of up to ``most`` partitions open, and sorts no rows for them."""
-    return _set(spark, "spark.sql.maxConcurrentOutputFileWriters", str(most))
+    """Within this, a task keeps files of up to ``most`` partitions open, and sorts no rows for them.
+
+    Spark sorts what is left of a task's rows as soon as it has as many files open as the setting says.
+    """
+    return _set(spark, "spark.sql.maxConcurrentOutputFileWriters", str(most + 1))

@@ -23,6 +23,8 @@ _KIND = "judged_as"
 SOURCE_FILE, SOURCE_ROW = "source_file", "source_row"
 #: Rejects that are sent to every task (some 100 bytes each).
 BROADCAST_REJECTS = 500_000
+#: Of more rejects, the bitmaps that are sent to every task: 4 KB for each 32,768 rows of a file that holds some.
+BROADCAST_MARKS = 16_384
 
 
 class Substring(NamedTuple):
@@ -138,9 +140,30 @@ def trace_back(spark: SparkSession, source: str, rejects: DataFrame, keep: Seque
     """The source rows, as they were read, that traced ``rejects`` were made from, with the columns ``keep`` of these.
 
     Rejects up to ``BROADCAST_REJECTS`` are broadcast, so that the source is only scanned; more of them are
-    joined by file and row.
+    joined by file and row, to those source rows that bitmaps of the rejected rows leave. Only where
+    there are more than ``BROADCAST_MARKS`` of these is the whole source shuffled.
     """
     wanted = rejects.select(SOURCE_FILE, SOURCE_ROW, *keep)
+    held = traced(scan(spark, source, drift=drift))
     if wanted.count() <= BROADCAST_REJECTS:
         wanted = F.broadcast(wanted)
-    return traced(scan(spark, source, drift=drift)).join(wanted, [SOURCE_FILE, SOURCE_ROW])
+    else:
+        held = _marked(held, wanted)
+    return held.join(wanted, [SOURCE_FILE, SOURCE_ROW])
+
+
+def _marked(held: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``held`` whose file and row are wanted, unless the bitmaps for it are too many; then all."""
+    # the functions for bitmaps count from 1
+    place = F.col(SOURCE_ROW).cast("long") + 1
+    marks = wanted.groupBy(F.col(SOURCE_FILE).alias("marked_file"), F.bitmap_bucket_number(place).alias("marked_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("marked_bits"))
+    if marks.count() > BROADCAST_MARKS:
+        return held
+    place = held[SOURCE_ROW] + 1
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(marks["marked_bits"], F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = (
+        (held[SOURCE_FILE] == marks["marked_file"]) & (F.bitmap_bucket_number(place) == marks["marked_bucket"])
+        & (F.getbit(byte, (at % 8).cast("int")) == 1))
+    return held.join(F.broadcast(marks), marked, "left_semi")

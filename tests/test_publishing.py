@@ -164,6 +164,30 @@ def test_rejects_are_traced_to_their_rows(spark, tmp_path, monkeypatch, limit):
     assert scan(spark, target).where("source_file IS NOT NULL OR source_row IS NOT NULL").count() == 0
 
 
+@pytest.mark.parametrize("most", [16_384, 0])
+def test_only_marked_rows_are_shuffled_to_many_rejects(spark, tmp_path, monkeypatch, most):
+    from factloom.plans import prep as module
+
+    monkeypatch.setattr(module, "BROADCAST_REJECTS", 0)
+    monkeypatch.setattr(module, "BROADCAST_MARKS", most, raising=False)
+    spark.range(0, 70_000, 1, 1).withColumn("marked_bits", F.lit("mine")).write.parquet(source := str(tmp_path / "s"))
+    wanted = [0, 1, 7, 8, 32_766, 32_767, 32_768, 32_769, 65_535, 65_536, 69_999]
+    at = scan(spark, source).select(F.col("_metadata.file_path").alias("source_file")).first()[0]
+    # one that is there twice, rows and files that no source has, and nulls
+    rows = [(at, n, "a") for n in wanted] + [(at, 8, "b"), (at, 70_000, "c"), (at, -1, "c"), ("file:/none", 3, "c"), (at, None, "c"), (None, 4, "c")]
+    found = trace_back(spark, source, spark.createDataFrame(rows, "source_file string, source_row long, violations string"))
+    assert sorted((r.id, r.marked_bits, r.violations) for r in found.collect()) == sorted([(n, "mine", "a") for n in wanted] + [(8, "mine", "b")])
+    assert ("LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()) == (most > 0)
+
+
+def test_two_kinds_of_rows_need_two_files_and_no_sort(spark, tmp_path):
+    from factloom.plans.compiling import writers_side_by_side
+
+    # Spark sorts from the moment on that as many files are open as the setting allows
+    with writers_side_by_side(spark, 2):
+        assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 2
+
+
 def test_what_cannot_be_traced_is_refused(spark, tmp_path):
     source = write_parquet(raw_sales(spark).withColumn("source_row", F.lit(1)), str(tmp_path / "s"))
     options = {"declared": SALES_IMPORT, "rejects": str(tmp_path / "r"), "trace": True}
