@@ -28,6 +28,17 @@ def expected():
     return sorted((o * 8 + n, o + 1) for o in range(39) for n in (1, 2) if o % 3 < 2 for _ in range(4 if o == 7 else 1))
 
 
+def test_the_fact_has_no_shuffle_of_whole_rows(spark, tables, monkeypatch):
+    made = []
+    monkeypatch.setattr(sales, "_build_once", lambda spark, sf_dir, name, make: made.append(make()) or ("", ""))
+    sales.sales_fact(spark, tables)
+    plan = physical_plan(made[0])
+    assert "REBALANCE" not in plan and "RoundRobin" not in plan
+    # the lines lie evenly at any size, as they are shuffled by order
+    assert "SortMergeJoin" in plan
+    assert sorted((r["Sale Key"], r["Customer Key"]) for r in made[0].collect()) == expected()
+
+
 def test_files_of_the_stream_do_not_grow_with_the_table(spark, tables, monkeypatch):
     seen = []
 
