@@ -184,7 +184,7 @@ def prep_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_prep(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = scratch(spark), scratch(spark)
-    _fact(spark, sf_dir).write.option("header", True).option("sep", "|").csv(source)
+    _fact(spark, sf_dir).write.option("header", True).option("sep", "|").option("compression", "gzip").csv(source)
     run_prep(spark, source, target, fmt="csv")
     return scan(spark, target)
 

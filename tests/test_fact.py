@@ -62,3 +62,16 @@ def test_files_of_the_stream_do_not_grow_with_the_table(spark, tables, monkeypat
             spark.conf.unset("spark.sql.files.openCostInBytes")
         rows, found, third = seen[-1]
         assert (rows, len(found), third) == (len(expected()), files, a_batch)
+
+
+def test_the_csv_copy_of_the_fact_is_compressed(spark, tables, monkeypatch):
+    def prepared(spark, source, target, fmt):
+        files = spark.read.option("header", True).option("sep", "|").csv(source)
+        assert files.count() == len(expected()) and all(f.endswith(".csv.gz") for f in files.inputFiles())
+        raise InterruptedError
+
+    fact = sales.sales_source(spark, tables)
+    monkeypatch.setattr(entry, "_fact", lambda spark, sf_dir: fact)
+    monkeypatch.setattr(entry, "run_prep", prepared)
+    with pytest.raises(InterruptedError):
+        entry.csv_prep(spark, tables)
