@@ -134,7 +134,8 @@ def import_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch(spark)
-    write_parquet(prep(_fact(spark, sf_dir)), f"{base}/prepared")
+    # from the joined tables at once: the fact as a table would be one more copy of all rows
+    write_parquet(prep(sales_source(spark, sf_dir)), f"{base}/prepared")
     name = f"{scratch_schema(spark)}.fact_sale_loaded"
     return spark.table(load_table(import_external(spark, base), name, partitions="auto"))
 

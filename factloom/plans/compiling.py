@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import AbstractContextManager, contextmanager
+from contextlib import AbstractContextManager, contextmanager, nullcontext
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LIMIT = "spark.sql.codegen.hugeMethodLimit"
 #: Fixed value: the JVM interprets methods with more bytes than this.
@@ -38,3 +38,32 @@ def writers_side_by_side(spark: SparkSession, most: int) -> AbstractContextManag
     Spark sorts what is left of a task's rows as soon as it has as many files open as the setting says.
     """
     return _set(spark, "spark.sql.maxConcurrentOutputFileWriters", str(most + 1))
+
+
+#: Nodes of a plan that keep the order in which files are read.
+_IN_ORDER = {"Project", "Filter", "SubqueryAlias", "View", "LogicalRelation"}
+
+
+def _read_straight(df: DataFrame) -> bool:
+    """Whether a frame's rows come from files one by one, so that a task that is run again has them in the same order."""
+    plan = df._jdf.queryExecution().analyzed()
+    todo, leaves = [plan], plan.collectLeaves()
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() not in _IN_ORDER:
+            return False
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    files = [leaves.apply(i).relation().getClass().getSimpleName() == "HadoopFsRelation" for i in range(leaves.size())]
+    return bool(plan.deterministic()) and all(files)
+
+
+def dealt_in_order(df: DataFrame) -> AbstractContextManager[None]:
+    """Within this, a round robin over a frame that is read straight from files sorts no rows first.
+
+    The sort makes a task that is run again deal its rows alike; it spills the whole rows where a task's
+    do not fit its memory. Rows that come from files one by one are in the same order anyway. Any other frame is
+    sorted as ever.
+    """
+    if not _read_straight(df):
+        return nullcontext()
+    return _set(df.sparkSession, "spark.sql.execution.sortBeforeRepartition", "false")

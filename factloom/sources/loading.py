@@ -25,6 +25,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factloom.plans.compiling import dealt_in_order
 from factloom.sources.files import place, require_apart
 from factloom.sources.publishing import Storage
 from factloom.sources.tables import drop, table_kind, table_location
@@ -207,7 +208,8 @@ def _written(
     if same:
         location, staged = f"{home}/{number}", None
         try:
-            writer.parquet(location)
+            with dealt_in_order(df):
+                writer.parquet(location)
         except Exception:
             files.delete(location)
             raise
@@ -215,7 +217,8 @@ def _written(
         database, table = _names(spark, name)
         staged = f"`{database}`.`{table}__loading_{number[:8]}`"
         try:
-            writer.format("parquet").saveAsTable(staged)
+            with dealt_in_order(df):
+                writer.format("parquet").saveAsTable(staged)
         except Exception:
             drop(spark, staged)
             files.delete(f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{_names(spark, staged)[1]}")

@@ -188,3 +188,21 @@ def test_a_quoted_name_and_a_failed_load(spark, schema):
     with pytest.raises(Exception):
         load_table(spark.range(4).selectExpr("raise_error('no') AS id"), name)
     assert rows(spark, name) == [0, 1]
+
+
+def test_rows_straight_from_files_are_dealt_unsorted(spark, schema, tmp_path):
+    from factloom.plans.compiling import dealt_in_order
+
+    key = "spark.sql.execution.sortBeforeRepartition"
+    spark.range(1000).write.parquet(str(tmp_path / "s"))
+    files = spark.read.parquet(str(tmp_path / "s"))
+    frames = {
+        "false": [files, files.where("id % 2 = 0").selectExpr("id + 1 AS n")],
+        "true": [files.distinct(), files.join(files.alias("b"), "id"), files.repartition(2), files.selectExpr("rand() AS r"), spark.range(9)]}
+    for wanted, some in frames.items():
+        for df in some:
+            with dealt_in_order(df):
+                assert spark.conf.get(key) == wanted
+            assert spark.conf.get(key) == "true"
+    name = load_table(files, f"{schema}.dealt", partitions="auto")
+    assert sorted(r.id for r in spark.table(name).collect()) == list(range(1000))
