@@ -71,29 +71,31 @@ class WordTokenizer:
         if steps != ["NFC", "Replace", "Lowercase"]:
             raise ValueError("not a tokenizer that drops white space and lower-cases")
         self.kind = "<u2" if self._whole.get_vocab_size() <= NARROW else "<u4"
-        self._pieces: dict[str, list[int]] = {}
+        self._code = "H" if self.kind == "<u2" else "I"
+        self._pieces: dict[str, bytes] = {}
         self._words: dict[bytes, bytes] = {}
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> bytes:
         ids = self._pieces.get(piece)
         if ids is None:
             if len(self._pieces) >= CACHED:
                 self._pieces.clear()
-            ids = self._pieces[piece] = [t.id for t in self._whole.model.tokenize(piece)]
+            ids = self._pieces[piece] = array(self._code, [t.id for t in self._whole.model.tokenize(piece)]).tobytes()
         return ids
 
     def _remember(self, words: list[bytes]) -> None:
         other = []
-        code = "H" if self.kind == "<u2" else "I"
         for word in words:
+            if word.isalpha():  # ASCII letters are one piece, whose ids words may share
+                self._words[word] = self._piece(word.lower().decode())
+                continue
             text = word.decode()
             if text.isascii() and text.isprintable() and (b"<" not in word or not any(s in word for s in self._special)):
-                ids = [i for p in _PIECE.findall(text.lower()) for i in self._piece(p)]
-                self._words[word] = array(code, ids).tobytes()
+                self._words[word] = b"".join([self._piece(p) for p in _PIECE.findall(text.lower())])
             else:
                 other.append(text)
         for text, found in zip(other, self._whole.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self._words[text.encode()] = array(code, found.ids).tobytes()
+            self._words[text.encode()] = array(self._code, found.ids).tobytes()
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text, as bytes of ``kind``."""
@@ -103,7 +105,7 @@ class WordTokenizer:
     def _encode(self, texts: pa.Array) -> Iterator[bytes]:
         split = pc.ascii_split_whitespace(texts)
         listed = pc.list_flatten(split).dictionary_encode()
-        words = listed.dictionary.cast(pa.large_binary()).to_pylist()
+        words = listed.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
         if len(self._words) >= CACHED:
             self._words.clear()
         self._remember([w for w in words if w and w not in self._words])

@@ -133,3 +133,11 @@ def test_bounds_between_cells():
     assert bounds == sorted(bounds) and len(bounds) == 4 and all(-(2**62) < b <= 21 for b in bounds)
     assert token_files.even_bounds(np.zeros(0, np.int64), np.zeros(0, np.int64), 5) == []
     assert token_files.even_bounds(np.array([7]), np.array([0]), 1) == []
+
+
+def test_words_of_one_piece_share_its_ids(library):
+    texts = ["The the THE they're in. a1b", "zyzzyva Zyzzyva", None]
+    encoder = token_files.WordTokenizer(WORD)
+    got = [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(pa.array(texts, pa.string()))]
+    assert got == [library[WORD].encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert encoder._words[b"The"] is encoder._words[b"the"] and encoder._words[b"Zyzzyva"] is encoder._words[b"zyzzyva"]
