@@ -4,11 +4,14 @@ Vectors become integers, floor(64 * x). Rows with equal vectors are one point th
 its k + 1 smallest ids: more can never be among k best. The upper level of both trees is
 shared: centres found by farthest-first choice from a bounded sample, to which every vector
 is dealt by distance; a cell with many points is dealt as several blocks. Below, each block
-is a cover tree of its own, whose nodes halve the covering radius of the one above.
+is a cover tree of its own, whose nodes halve the covering radius of the one above; it is built
+once, and stored with the block, whose points lie in the tree's order.
 
-The search goes down a tree of queries and a tree of data at once. Two nodes with centres
+The search goes down a tree of queries and a tree of data at once, level by level. Two nodes with centres
 q and r, radii a and b, hold no pair with a product above q.r + a|r| + b|q| + ab; the pair is
-left out where that is under the worst k-th score that the queries of the node have so far.
+left out where that is under the worst k-th score that the queries of the node have so far. The
+leaves of data that a leaf of queries has to meet come in order of their bounds, several in one
+product of matrices.
 A first round on one block of the cell that promises most gives each query a k-th score to
 start from; the second round meets the cells that are left. Equal scores are never cut off,
 so ties go to the smaller id.
@@ -25,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +37,12 @@ from factloom.llm.store import partitions_for, stored
 SCALE = 64.0
 #: Bounds: sampled vectors for the centres, centres, points of a block, queries of a block, points of a leaf.
 SAMPLE, MOST_CELLS, BLOCK, QUERIES, LEAF = 4096, 512, 4096, 512, 64
-_EXACT = 2.0**52
+#: Points of the first product of matrices of a leaf of queries, and how many times as many the next has.
+FIRST, MORE = 256, 4
+#: Whole numbers up to these are exact in 32 and 64 bits.
+_SINGLE, _EXACT = 2.0**24, 2.0**52
+#: Scores stop here, and so do their bounds.
+_LEAST = -(2.0**63)
 
 
 def _integers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,29 +78,49 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class CoverTree:
-    """Nodes as arrays: points first..last of the reordered block, a centre, a covering radius, children."""
+    """Nodes as arrays: points first..last of the reordered block, the first of which is the centre, a covering radius, children."""
 
-    def __init__(self, points: np.ndarray) -> None:
+    def __init__(self, points: np.ndarray, nodes: bytes | None = None) -> None:
+        if nodes is None:
+            self._build(points)
+        else:
+            self.points = points
+            first, last, radius, parent = np.frombuffer(nodes).reshape(4, -1)
+            self.first, self.last, self.parent = (x.astype(np.int64) for x in (first, last, parent))
+            self.radius = radius
+        self.centres = self.points[self.first]
+        self.norms = np.sqrt((self.centres**2).sum(1))
+        # the children of a node lie together in ``below``
+        self.below = np.argsort(self.parent, kind="stable")
+        self.cuts = np.searchsorted(self.parent[self.below], np.arange(len(self.first) + 1))
+        self.many = np.diff(self.cuts)
+        self.width = np.abs(self.points).max(initial=0.0)
+        self._single: np.ndarray | None = None
+
+    @property
+    def children(self) -> list[list[int]]:
+        return [self.below[a:b].tolist() for a, b in zip(self.cuts[:-1].tolist(), self.cuts[1:].tolist(), strict=True)]
+
+    def packed(self) -> bytes:
+        """All but the points."""
+        return np.array([self.first, self.last, self.radius, self.parent], np.float64).tobytes()
+
+    def single(self) -> np.ndarray:
+        if self._single is None:
+            self._single = self.points.astype(np.float32)
+        return self._single
+
+    def _build(self, points: np.ndarray) -> None:
         self.order = np.arange(len(points))
-        self.first: list[int] = []
-        self.last: list[int] = []
-        self.radius: list[float] = []
-        self.children: list[list[int]] = []
-        centres: list[np.ndarray] = []
-        todo = [(0, len(points), None)]
+        nodes: list[tuple[int, int, float, int]] = []
+        todo = [(0, len(points), -1)]
         while todo:
             first, last, parent = todo.pop()
             mine = points[self.order[first:last]]
-            node = len(self.first)
+            node = len(nodes)
             away = np.sqrt(((mine - mine[0]) ** 2).sum(1))
-            self.first.append(first)
-            self.last.append(last)
             # a little more than measured, for rounding
-            self.radius.append(float(away.max()) * (1 + 1e-9))
-            self.children.append([])
-            centres.append(mine[0])
-            if parent is not None:
-                self.children[parent].append(node)
+            nodes.append((first, last, float(away.max()) * (1 + 1e-9), parent))
             if last - first <= LEAF or away.max() == 0:
                 continue
             nearest, best = np.zeros(len(mine), np.int64), away
@@ -106,55 +135,93 @@ class CoverTree:
             self.order[first:last] = self.order[first:last][by_child]
             cuts = np.searchsorted(nearest[by_child], np.arange(int(nearest.max()) + 2))
             todo += [(first + a, first + b, node) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True) if b > a]
-        self.centres = np.array(centres)
-        self.norms = np.sqrt((self.centres**2).sum(1))
+        self.points = points[self.order]
+        first, last, radius, parent = zip(*nodes, strict=True)
+        self.first, self.last, self.parent = (np.array(x, np.int64) for x in (first, last, parent))
+        self.radius = np.array(radius)
 
 
 def bound(qc: np.ndarray, qr: float, rc: np.ndarray, rr: float | np.ndarray) -> np.ndarray:
     """The largest product that points within the two radii of the centres may have."""
     top = rc @ qc + qr * np.sqrt((rc**2).sum(-1)) + rr * np.sqrt((qc**2).sum()) + qr * rr
-    return top + 1e-9 * np.abs(top) + 1.0
-
-
-def search(queries: np.ndarray, worst: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.maximum(top + 1e-9 * np.abs(top) + 1.0, _LEAST)
+
+
+def _bounds(own: CoverTree, other: CoverTree) -> np.ndarray:
+    """``bound`` of every pair of nodes."""
+    top = own.centres @ other.centres.T + np.outer(own.radius, other.norms) + np.outer(own.norms, other.radius) + np.outer(own.radius, other.radius)
+    return np.maximum(top + 1e-9 * np.abs(top) + 1.0, _LEAST)
+
+
+def _below(tree: CoverTree, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The children of each of the nodes, and whose they are by place."""
+    many = tree.many[nodes]
+    whose = np.repeat(np.arange(len(nodes)), many)
+    return tree.below[np.arange(many.sum()) + np.repeat(tree.cuts[nodes] - np.cumsum(many) + many, many)], whose
+
+
+def _leaves(own: CoverTree, other: CoverTree, tops: np.ndarray, kth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of leaves that no bound on the way to them leaves out."""
+    low = np.array([kth[a:b].min() for a, b in zip(own.first.tolist(), own.last.tolist(), strict=True)])
+    a, b, done = np.zeros(1, np.int64), np.zeros(1, np.int64), []
+    while len(a):
+        kept = tops[a, b] >= low[a]
+        a, b = a[kept], b[kept]
+        down = (own.many[a] > 0) & ((own.radius[a] >= other.radius[b]) | (other.many[b] == 0))
+        over = ~down & (other.many[b] > 0)
+        ends = ~down & ~over
+        done.append((a[ends], b[ends]))
+        below, whose = _below(own, a[down])
+        across, from_ = _below(other, b[over])
+        a, b = np.concatenate([below, a[over][from_]]), np.concatenate([b[down][whose], across])
+    return np.concatenate([x for x, _ in done]), np.concatenate([y for _, y in done])
+
+
+def _best(i: np.ndarray, s: np.ndarray, n: int, k: int) -> np.ndarray:
+    """The k-th highest score of each of ``n`` queries, the least number where there are fewer."""
+    order = np.lexsort((~s, i))  # no number has its negative out of range
+    starts = np.searchsorted(i[order], np.arange(n + 1))
+    kth = np.full(n, np.iinfo(np.int64).min)
+    full = np.diff(starts) >= k
+    kth[full] = s[order[starts[:-1][full] + k - 1]]
+    return kth
+
+
+def search(own: CoverTree, worst: np.ndarray, other: CoverTree, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Dual-tree search: (query, point, score) of all pairs that may be among a query's k best.
 
-    ``worst`` holds each query's k-th score so far; it rises as the search goes on.
+    Queries and points are numbered in their trees' order. ``worst`` holds each query's k-th
+    score so far; it rises as the search goes on.
     """
-    own, other = CoverTree(queries), CoverTree(points)
-    q, p = queries[own.order], points[other.order]
-    kth = worst[own.order].copy()
-    best = np.full((len(q), k), np.iinfo(np.int64).min)
+    kth = worst.copy()
+    tops = _bounds(own, other)
+    a, b = _leaves(own, other, tops, kth)
+    most = max(own.width * other.width * max(own.points.shape[1], 1), float(kth.max(initial=0)))
+    q, p = (own.single(), other.single()) if most < _SINGLE else (own.points, other.points)
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    todo = [(0, 0)]
-    while todo:
-        a, b = todo.pop()
-        top = bound(own.centres[a], own.radius[a], other.centres[b], other.radius[b])
-        rows = slice(own.first[a], own.last[a])
-        if top < kth[rows].min():
-            continue
-        if own.children[a] and (own.radius[a] >= other.radius[b] or not other.children[b]):
-            todo += [(c, b) for c in own.children[a]]
-        elif other.children[b]:
-            # the most promising child is looked at first: it is pushed last
-            kids = other.children[b]
-            tops = bound(own.centres[a], own.radius[a], other.centres[kids], np.array(other.radius)[kids])
-            todo += [(a, kids[i]) for i in np.argsort(tops).tolist()]
-        else:
-            scores = products(q[rows], p[other.first[b] : other.last[b]])
-            near = scores >= kth[rows, None]
-            if near.any():
-                i, j = np.nonzero(near)
-                found.append((i + own.first[a], j + other.first[b], scores[i, j]))
-                merged = np.concatenate([best[rows], scores], 1)
-                best[rows] = np.partition(merged, merged.shape[1] - k, 1)[:, -k:]
-                kth[rows] = np.maximum(kth[rows], best[rows].min(1))
+    for leaf in np.unique(a).tolist():
+        rows = slice(own.first[leaf], own.last[leaf])
+        left = b[a == leaf]
+        # the most promising leaves come first
+        left = left[np.argsort(-tops[leaf, left], kind="stable")]
+        size = FIRST
+        while len(left := left[tops[leaf, left] >= kth[rows].min()]):
+            sizes = other.last[left] - other.first[left]
+            n = int(np.searchsorted(np.cumsum(sizes), size)) + 1
+            at = np.arange(sizes[:n].sum()) + np.repeat(other.first[left[:n]] - np.cumsum(sizes[:n]) + sizes[:n], sizes[:n])
+            left, size = left[n:], size * MORE
+            scores = q[rows] @ p[at].T if most < _EXACT else products(q[rows], p[at])
+            limit = kth[rows].astype(scores.dtype) if most < _EXACT else kth[rows]
+            i, j = np.nonzero(scores >= limit[:, None])
+            if len(i):
+                found.append((i + own.first[leaf], at[j], scores[i, j].astype(np.int64)))
+                kth[rows] = np.maximum(kth[rows], _best(i, found[-1][2], len(limit), k))
     if not found:
         none = np.empty(0, np.int64)
         return none, none, none
     i, j, s = (np.concatenate([f[n] for f in found]) for n in range(3))
-    keep = s >= kth[i]
-    return own.order[i[keep]], other.order[j[keep]], s[keep]
+    keep = s >= np.maximum(kth, _best(i, s, len(kth), k))[i]
+    return i[keep], j[keep], s[keep]
 
 
 def _centres(points: np.ndarray, n: int) -> np.ndarray:
@@ -171,12 +238,14 @@ def _packing(width: int, by: list[str]):
     """One row for each block: its vectors, ids, and the sphere around its middle."""
 
     def run(table: pa.Table) -> pa.Table:
-        points = _matrix(table["vec"].to_pylist(), width)
+        tree = CoverTree(_matrix(table["vec"].to_pylist(), width))
+        points = tree.points
         middle = points.mean(0)
         radius = float(np.sqrt(((points - middle) ** 2).sum(1)).max()) * (1 + 1e-9)
-        ids = table["ids"].to_pylist()
+        ids = table["ids"].combine_chunks().take(pa.array(tree.order)).to_pylist()
         return pa.table({
             **{c: table[c].slice(0, 1) for c in by}, "n": pa.array([len(points)], pa.int64()), "vecs": pa.array([points.tobytes()], pa.binary()),
+            "nodes": pa.array([tree.packed()], pa.binary()),
             "ids": pa.array([ids], pa.list_(pa.list_(pa.int64()))), "middle": pa.array([middle.tobytes()], pa.binary()), "radius": pa.array([radius])})
 
     return run
@@ -214,7 +283,7 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, id: str = "vec_id",
         parts = F.get(F.array(*[F.lit(sizes.get(c, 1)) for c in range(len(centres))]), F.col("cell").cast("int"))
         chunk = F.pmod(F.xxhash64("vec", F.lit("chunk")), parts).cast("long")
         packed = dealt.withColumn("chunk", chunk).groupBy("cell", "chunk").applyInArrow(
-            _packing(width, ["cell", "chunk"]), "cell long, chunk long, n long, vecs binary, ids array<array<long>>, middle binary, radius double")
+            _packing(width, ["cell", "chunk"]), "cell long, chunk long, n long, vecs binary, nodes binary, ids array<array<long>>, middle binary, radius double")
         return stored(packed, name), sizes
 
     data, chunks = blocks(points, BLOCK, "data-blocks")
@@ -247,42 +316,44 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, id: str = "vec_id",
         return run
 
     near = data.select(F.col("cell").alias("at_cell"), F.col("chunk").alias("at_chunk"), F.col("n").alias("m"),
-                       F.col("vecs").alias("points"), F.col("ids").alias("point_ids"), F.col("middle").alias("at"), F.col("radius").alias("reach"))
+                       F.col("vecs").alias("points"), F.col("nodes").alias("point_nodes"), F.col("ids").alias("point_ids"), F.col("middle").alias("at"), F.col("radius").alias("reach"))
     def meeting(of: DataFrame, first: bool) -> DataFrame:
         kind = of.select("*").schema.add("at_cell", "long").add("at_chunk", "long")
         return of.mapInArrow(meetings(first), kind).join(near, ["at_cell", "at_chunk"])
 
+    def met(batch: pa.RecordBatch, n: int, worst: np.ndarray | None) -> tuple[np.ndarray, ...]:
+        """The queries of a row, and (query's place, vec_id, score) of what its search finds but the queries themselves."""
+        of = lambda c: batch.column(c)[n]
+        q, p = (CoverTree(np.frombuffer(of(v).as_buffer()).reshape(-1, width), of(t).as_py()) for v, t in (("vecs", "nodes"), ("points", "point_nodes")))
+        own = pc.list_flatten(of("ids").values).to_numpy()
+        # one more, as a query's own point may be among them
+        i, j, s = search(q, np.full(len(own), np.iinfo(np.int64).min) if worst is None else worst, p, k + 1)
+        ids = of("point_ids").values.take(pa.array(j))
+        many = pc.list_value_length(ids).to_numpy()
+        i, s, ids = np.repeat(i, many), np.repeat(s, many), pc.list_flatten(ids).to_numpy()
+        others = ids != own[i]
+        return own, i[others], ids[others], s[others]
+
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The k-th scores that each query of a block reaches in one block of data."""
         for batch in batches:
-            for r in batch.to_pylist():
-                q, p = (np.frombuffer(r[c]).reshape(n, width) for c, n in (("vecs", r["n"]), ("points", r["m"])))
-                i, j, s = search(q, np.full(len(q), np.iinfo(np.int64).min), p, k + 1)
-                kth = np.full(len(q), np.iinfo(np.int64).min)
-                own = [x[0] for x in r["ids"]]
-                counts = np.array([len(x) for x in r["point_ids"]])
-                for n in range(len(q)):
-                    mine = i == n
-                    held = counts[j[mine]] - np.array([own[n] in r["point_ids"][x] for x in j[mine].tolist()], np.int64)
-                    scores = np.sort(np.repeat(s[mine], np.minimum(held, k)))[::-1]
-                    if len(scores) >= k:
-                        kth[n] = scores[k - 1]
-                yield pa.RecordBatch.from_pydict({"cell": pa.array([r["cell"]], pa.int64()), "chunk": pa.array([r["chunk"]], pa.int64()), "kth": pa.array([kth.tobytes()], pa.binary())})
+            for n in range(batch.num_rows):
+                own, i, _, s = met(batch, n, None)
+                one = batch.slice(n, 1)
+                yield pa.RecordBatch.from_arrays(
+                    [one.column("cell"), one.column("chunk"), pa.array([_best(i, s, len(own), k).tobytes()], pa.binary())], ["cell", "chunk", "kth"])
 
     starts = stored(meeting(queries, True).mapInArrow(start, "cell long, chunk long, kth binary"), "first-scores")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
+            for n in range(batch.num_rows):
+                r = {c: batch.column(c)[n].as_py() for c in ("kth", "middle", "radius", "at", "reach")}
                 kth = np.frombuffer(r["kth"], np.int64)
                 if bound(np.frombuffer(r["middle"]), r["radius"], np.frombuffer(r["at"]), r["reach"]) < kth.min():
                     continue
-                q, p = (np.frombuffer(r[c]).reshape(n, width) for c, n in (("vecs", r["n"]), ("points", r["m"])))
-                # one more, as a query's own point may be among them
-                i, j, s = search(q, kth, p, k + 1)
-                own = [x[0] for x in r["ids"]]
-                out = [(own[a], b, c) for a, x, c in zip(i.tolist(), j.tolist(), s.tolist(), strict=True) for b in r["point_ids"][x] if b != own[a]]
-                yield pa.RecordBatch.from_arrays([pa.array([o[n] for o in out], pa.int64()) for n in range(3)], ["query_id", "vec_id", "score"])
+                own, i, ids, s = met(batch, n, kth)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (own[i], ids, s)], ["query_id", "vec_id", "score"])
 
     found = meeting(queries.join(starts, ["cell", "chunk"]), False).mapInArrow(finish, "query_id long, vec_id long, score long")
     placed = found.distinct().selectExpr(

@@ -51,3 +51,22 @@ def test_blocks_of_queries_and_of_data_have_inner_nodes():
     for size in (topk.QUERIES, topk.BLOCK):
         tree = topk.CoverTree(np.floor(r.normal(size=(size, 8)) * 64))
         assert len(tree.children[0]) > 1 and len(tree.first) > size // topk.LEAF
+
+
+@pytest.mark.parametrize("scale", [1.0, 2.0**8, 2.0**24, 2.0**40])
+def test_search_over_stored_trees_against_brute_force(monkeypatch, scale):
+    r = np.random.default_rng(3)
+    points, queries = (np.floor((r.normal(size=(n, 6)) + 4 * r.integers(0, 3, (n, 1))) * 64 * scale) for n in (1500, 200))
+    points[100:400] = points[100]
+    built = [topk.CoverTree(x) for x in (queries, points)]
+    monkeypatch.setattr(topk.CoverTree, "_build", None)  # a stored tree is not built again
+    own, other = (topk.CoverTree(t.points, t.packed()) for t in built)
+    assert own.children == built[0].children and (own.radius == built[0].radius).all()
+    scores = topk.products(own.points, other.points)
+    true = np.sort(scores, 1)[:, -5]
+    for worst in (np.full(200, np.iinfo(np.int64).min), true - 1, true):
+        i, j, s = topk.search(own, worst, other, 5)
+        assert (scores[i, j] == s).all()
+        want = {(a, b) for a, b in zip(*np.nonzero(scores >= true[:, None]), strict=True)}
+        assert want <= set(zip(i.tolist(), j.tolist(), strict=True))
+        assert len(set(zip(i.tolist(), j.tolist(), strict=True))) == len(i)
