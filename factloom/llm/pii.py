@@ -18,16 +18,20 @@ A term is a run of letters and digits outside the base spans, lower-cased. Entit
 as digests. Every count is over all documents; repeated rows count as often as they stand
 there, but are one witness. A null text is empty; null ids keep their rows; an empty table
 gives an empty result; other columns are not read.
+
+The texts are read three times: for the rows with entities, whose terms are stored; for the
+counts of the terms that these rows leave in question, and of their prefixes; and for the spans.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +42,10 @@ KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 DISCLOSURE, SUPPORT, EVIDENCE = 0.8, 3, 30.0
 LEAST_PREFIX = 3
-#: Keys (8 bytes each) or terms that workers are given whole; beyond them the tables are joined by shuffle.
+#: Keys (8 bytes each), four for a digest or a candidate, or terms that workers are given whole; beyond them the tables are joined by shuffle.
 MOST_KEYS, MOST_TERMS = 2_000_000, 200_000
+#: Bytes of text that are split into words at once.
+PIECE = 8 << 20
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 # only the first digit of a run may begin an address, which keeps long runs linear
@@ -115,8 +121,51 @@ def _words(text: str, spans: dict[str, list[Span]]) -> Iterator[tuple[int, int,
             yield m.start(), m.end(), m[0].lower()
 
 
+def _outside(text: str, spans: dict[str, list[Span]]) -> str:
+    """The text without the base spans and the words that reach into them."""
+    out, at = [], 0
+    for a, b in sorted(s for of in spans.values() for s in of):
+        if b <= at:
+            continue
+        while a > at and text[a - 1].isalnum() and text[a].isalnum():
+            a -= 1
+        while b < len(text) and text[b - 1].isalnum() and text[b].isalnum():
+            b += 1
+        if a > at:
+            out.append(text[at:a])
+        at = b
+    return " ".join([*out, text[at:]])
+
+
 def _terms(text: str, spans: dict[str, list[Span]]) -> set[str]:
-    return {w for *_, w in _words(text, spans)}
+    """The distinct terms that ``_words`` gives, from the distinct runs between white space."""
+    runs = set((_outside(text, spans) if any(spans.values()) else text).split())
+    plain = {r for r in runs if r.isalnum()}
+    plain.update(_WORD.findall(" ".join(runs - plain)))
+    return {w.lower() for w in plain}
+
+
+def _holding(texts: pa.Array, keep: Callable[[str], bool]) -> dict[int, set[str]]:
+    """The terms that ``keep`` takes of each row that has any, in or outside the base spans.
+
+    Each distinct run between white space is judged once.
+    """
+    found: dict[int, set[str]] = {}
+    size = max(1, len(texts) * PIECE // max(1, texts.nbytes))
+    for start in range(0, len(texts), size):
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.slice(start, size).cast(pa.large_string()), ""))
+        runs = pc.list_flatten(split).dictionary_encode()
+        kept = {}
+        for n, run in enumerate(runs.dictionary.to_numpy(zero_copy_only=False).tolist()):
+            if mine := [t for w in ((run,) if run.isalnum() else _WORD.findall(run)) if keep(t := w.lower())]:
+                kept[n] = mine
+        index, own = runs.indices.to_numpy(), np.zeros(len(runs.dictionary), bool)
+        own[list(kept)] = True
+        places = np.flatnonzero(own[index])
+        rows = np.searchsorted(split.offsets.to_numpy() - split.offsets[0].as_py(), places, side="right") - 1 + start
+        for row, n in zip(rows.tolist(), index[places].tolist(), strict=True):
+            found.setdefault(row, set()).update(kept[n])
+    return found
 
 
 def _least_hashes(text: str) -> list[int]:
@@ -131,23 +180,22 @@ def _pair(entity: bytes, doc_id: int | None, text: str) -> int:
     return xxhash.xxh64_intdigest(entity + f"{doc_id}:{text}".encode()) - 2**63
 
 
-def _key(term: str) -> int:
-    """As Spark's ``xxhash64``."""
-    h = xxhash.xxh64_intdigest(term, 42)
-    return h - 2**64 if h >> 63 else h
-
-
-def _mapped(docs: DataFrame, each, schema: str) -> DataFrame:
-    """The rows that ``each`` yields for every doc_id and text."""
+def _mapped(docs: DataFrame, each, schema: str, keep: Callable[[str], bool] | None = None) -> DataFrame:
+    """The rows that ``each`` yields for every doc_id and text; with ``keep``, for those that hold such terms, and these."""
     names = [c.split()[0] for c in schema.split(", ")]
-    kinds = {"binary": pa.binary(), "long": pa.int64(), "array<string>": pa.list_(pa.string()), "array<binary>": pa.list_(pa.binary())}
+    kinds = {"binary": pa.binary(), "long": pa.int64(), "array<string>": pa.list_(pa.string()), "array<binary>": pa.list_(pa.binary()), "array<long>": pa.list_(pa.int64())}
     types = [kinds[c.split()[1]] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            found = _holding(batch.column("text"), keep) if keep else {}
             for part in range(0, batch.num_rows, 256):  # terms take more room than texts
                 piece = batch.slice(part, 256)
-                rows = [r for i, t in zip(piece.column("doc_id").to_pylist(), piece.column("text"), strict=True) for r in each(i, t.as_py() or "")]
+                given = zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist(), strict=True)
+                if keep:
+                    rows = [r for n, (i, t) in enumerate(given, part) if n in found for r in each(i, t, found[n])]
+                else:
+                    rows = [r for i, t in given for r in each(i, t or "")]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
@@ -158,7 +206,7 @@ def _given(df: DataFrame, column: str, most: int):
     spark = df.sparkSession
     if df.count() > most:
         return None
-    return spark.sparkContext.broadcast(frozenset(v if isinstance(v, int | str) else bytes(v) for (v,) in df.select(column).collect()))
+    return spark.sparkContext.broadcast(frozenset(v if isinstance(v, str) else bytes(v) for (v,) in df.select(column).collect()))
 
 
 def _has(given, value) -> bool:
@@ -182,12 +230,14 @@ def disclosing_terms(
     none = spark.createDataFrame([], "term string, general string")
 
     def mention(doc_id: int | None, text: str):
-        if found := _entities(text, base_spans(text)):
-            least = _least_hashes(text)
-            for e in found:
-                yield (e, _pair(e, doc_id, text), *least)
+        spans = base_spans(text)
+        if found := _entities(text, spans):
+            yield found, [_pair(e, doc_id, text) for e in found], *_least_hashes(text), sorted(_terms(text, spans))
 
-    mentions = stored(_mapped(docs, mention, "entity binary, pair long, m1 long, m2 long, m3 long"), "mentions")
+    rows = "entities array<binary>, pairs array<long>, m1 long, m2 long, m3 long, terms array<string>"
+    bearing = stored(_mapped(docs, mention, rows), "mentions")
+    mentions = bearing.select(F.explode(F.arrays_zip("entities", "pairs")).alias("e"), "m1", "m2", "m3", "terms").selectExpr(
+        "e.entities AS entity", "e.pairs AS pair", "m1", "m2", "m3", "terms")
     # witnesses: documents that no two share a MinHash value
     first = mentions.groupBy("entity", "m1").agg(F.min(F.struct("pair", "m2", "m3")).alias("w")).select("entity", "w.*")
     second = first.groupBy("entity", "m2").agg(F.min(F.struct("pair", "m3")).alias("w")).select("entity", "w.*")
@@ -201,56 +251,69 @@ def disclosing_terms(
     chosen = stored(
         third.join(rows, ["entity", "pair"]).join(often, "entity", "left_semi").select("entity", "pair", (1.0 / F.col("copies")).alias("weight")), "witnesses")
     known = _given(often, "entity", MOST_KEYS // 4)
-
-    def held(doc_id: int | None, text: str):
-        spans = base_spans(text)
-        found = [e for e in _entities(text, spans) if _has(known, e)]
-        if found:
-            terms = sorted(_terms(text, spans))
-            for e in found:
-                yield e, _pair(e, doc_id, text), terms
-
+    held = mentions if known is None else mentions.join(F.broadcast(often.select("entity")), "entity", "left_semi")
     witnesses = broadcast_if_small(chosen, chosen.count(), MOST_KEYS // 4)
     # a term is sent on only with a witness or not: rows are summed before they are shuffled
-    met = stored(
-        _mapped(docs, held, "entity binary, pair long, terms array<string>").join(witnesses, ["entity", "pair"], "left")
+    met = (
+        held.select("entity", "pair", "terms").join(witnesses, ["entity", "pair"], "left")
         .select("entity", F.coalesce("weight", F.lit(0.0)).alias("weight"), F.explode("terms").alias("term"))
         .groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.round(F.sum("weight")).cast("long").alias("support"))
-        .where(F.col("support") >= support), "met")
-    candidates = stored(met.select("term").distinct(), "candidate-terms")
-    if candidates.isEmpty():
-        return none
-    wanted = _given(candidates.select(F.xxhash64("term").alias("key")), "key", MOST_KEYS)
-
-    def holds(doc_id: int | None, text: str):
-        if terms := [t for t in _terms(text, base_spans(text)) if wanted is None or _key(t) in wanted.value]:
-            yield (terms,)
-
-    counted = _mapped(docs, holds, "terms array<string>").select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+        .where(F.col("support") >= support))
+    # the rows with entities hold a term no oftener than all rows do, and both measures fall as it grows
     told, sure = _disclosure(n)
+    least = bearing.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    near = (told >= disclosure - 1e-9) & (sure >= evidence - 1e-6)
+    likely = stored(met.join(least, "term").join(often, "entity").where(near).drop("n_t", "n_e"), "met")
+    candidates = likely.select("term").distinct()
+    if likely.isEmpty():
+        return none
+    wanted = _given(candidates, "term", MOST_KEYS // 4)
+    prefixes = _given(_prefixes(likely).select("prefix").distinct(), "prefix", MOST_TERMS)
+    once, nothing = wanted is not None and prefixes is not None, spark.sparkContext.broadcast(frozenset())
+    seen = stored(_seen(docs, wanted, prefixes, known), "classes") if once else _seen(docs, wanted, nothing, known)
+    counted = seen.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     flagged = stored(
-        met.join(counted, "term").join(often, "entity").where((told >= disclosure) & (sure >= evidence)).select("term", "entity"), "flagged")
+        likely.join(counted, "term").join(often, "entity").where((told >= disclosure) & (sure >= evidence)).select("term", "entity"), "flagged")
     if flagged.isEmpty():
         return none
-    return stored(_generalised(docs, flagged, often, n, disclosure), "disclosing")
+    if not once:
+        prefixes = _given(_prefixes(flagged).select("prefix").distinct(), "prefix", MOST_TERMS)
+        seen = stored(_seen(docs, nothing, prefixes, known), "classes")
+    return stored(_generalised(seen, flagged, often, n, disclosure), "disclosing")
 
 
-def _generalised(docs: DataFrame, flagged: DataFrame, often: DataFrame, n: int, disclosure: float) -> DataFrame:
-    """Each flagged term with the longest prefix that discloses none of the term's entities."""
+def _prefixes(terms: DataFrame) -> DataFrame:
+    """(term, entity, size, prefix): the prefixes that are shorter than the term."""
     lengths = F.when(F.length("term") > LEAST_PREFIX, F.sequence(F.lit(LEAST_PREFIX), F.length("term") - 1)).otherwise(F.array().cast("array<int>"))
-    wide = stored(flagged.select("term", "entity", F.explode(lengths).alias("size")).select(
-        "term", "entity", "size", F.expr("substring(term, 1, size)").alias("prefix")), "prefixes")
-    given = _given(wide.select("prefix").distinct(), "prefix", MOST_TERMS)
-    known = _given(often, "entity", MOST_KEYS // 4)
+    return terms.select("term", "entity", F.explode(lengths).alias("size")).select(
+        "term", "entity", "size", F.expr("substring(term, 1, size)").alias("prefix"))
+
+
+def _seen(docs: DataFrame, wanted, prefixes, known) -> DataFrame:
+    """(terms, prefixes, entities): what each document has of the given sets, if any term or prefix; None gives all."""
+    keep = None
+    if wanted is not None and prefixes is not None:
+        heads = docs.sparkSession.sparkContext.broadcast(frozenset(t[:LEAST_PREFIX] for of in (wanted, prefixes) for t in of.value))
+        keep = lambda term: term[:LEAST_PREFIX] in heads.value
 
-    def classes(doc_id: int | None, text: str):
+    def held(doc_id: int | None, text: str, near: set[str] | None = None):
         spans = base_spans(text)
-        begun = {t[:k] for t in _terms(text, spans) for k in range(LEAST_PREFIX, len(t) + 1)}
-        if mine := [p for p in begun if _has(given, p)]:
-            yield mine, [e for e in _entities(text, spans) if _has(known, e)]
+        if near is None or any(spans.values()):
+            outside = _terms(text, spans)
+            near = outside if near is None else near & outside
+        mine, begun = [t for t in near if _has(wanted, t)], []
+        if prefixes is None or prefixes.value:
+            begun = [p for p in {t[:k] for t in near for k in range(LEAST_PREFIX, len(t) + 1)} if _has(prefixes, p)]
+        if mine or begun:
+            yield mine, begun, [e for e in _entities(text, spans) if _has(known, e)] if begun else []
 
-    found = stored(_mapped(docs, classes, "prefixes array<string>, entities array<binary>"), "classes")
-    each = found.select(F.explode("prefixes").alias("prefix"), "entities")
+    return _mapped(docs, held, "terms array<string>, prefixes array<string>, entities array<binary>", keep)
+
+
+def _generalised(seen: DataFrame, flagged: DataFrame, often: DataFrame, n: int, disclosure: float) -> DataFrame:
+    """Each flagged term with the longest prefix that discloses none of the term's entities."""
+    wide = _prefixes(flagged)
+    each = seen.select(F.explode("prefixes").alias("prefix"), "entities").join(wide.select("prefix").distinct(), "prefix", "left_semi")
     alone = each.groupBy("prefix").agg(F.count("*").alias("n_t"))
     both = each.select("prefix", F.explode("entities").alias("entity")).groupBy("prefix", "entity").agg(F.count("*").alias("n_te"))
     told, _ = _disclosure(n)
@@ -290,12 +353,15 @@ def find(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
+            found = _holding(batch.column("text"), shared.value.__contains__) if shared.value else {}
             own = [None] * batch.num_rows if few else batch.column("terms").to_pylist()
-            for value, mine in zip(batch.column("text"), own, strict=True):
-                text = value.as_py() or ""
+            for n, (value, mine) in enumerate(zip(batch.column("text").to_pylist(), own, strict=True)):
+                text = value or ""
                 spans = base_spans(text)
                 known = shared.value if few else {t["term"]: t["general"] for t in mine or []}
-                extra = [(a, b, known[w]) for a, b, w in _words(text, spans) if w in known] if known else []
+                extra = []
+                if known and (not few or n in found):
+                    extra = [(a, b, known[w]) for a, b, w in _words(text, spans) if w in known]
                 base = [f"{k}:{a}:{b}" for k in KINDS for a, b in spans[k]]
                 whole = ",".join(base + [f"{TERM}:{a}:{b}" for a, b, _ in extra])
                 out.append((

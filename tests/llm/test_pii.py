@@ -3,6 +3,7 @@ import math
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from factloom.llm import pii
@@ -139,3 +140,22 @@ def test_awkward_rows_and_an_empty_table(spark):
 def test_a_hot_entity_reveals_nothing_by_chance(spark):
     texts = [prose(n, 30, 2000) + (" 9.9.9.9" if n % 3 == 0 else "") for n in range(300)]
     assert pii.disclosing_terms(docs(spark, texts)).count() == 0
+
+
+def test_terms_are_those_of_the_words_outside_the_spans():
+    r = random.Random(4)
+    parts = ["a", "É", "İ", "ΑΣ", "ß", "_", "²", "٣", "1", "1.2.3.4", "4111111111111111", "+1 2345678", "x@b.c", ".", " ", "\xa0", "̇", "\n", ","]
+    texts = AWKWARD + ["".join(r.choice(parts) for _ in range(r.randrange(1, 30))) for _ in range(5_000)]
+    wanted = {"a", "é", "ασ", "ας", "i̇", "11", "²"}
+    found = pii._holding(pa.array([*texts, None], pa.string()).slice(3), wanted.__contains__)
+    for n, text in enumerate(texts):
+        spans = pii.base_spans(text)
+        assert n < 3 or found.get(n - 3, set()) == wanted & pii._terms(text, {}), text
+        assert pii._terms(text, spans) == {w for *_, w in pii._words(text, spans)}, text
+
+
+def test_texts_are_read_three_times(spark, monkeypatch):
+    read, mapped = [], pii._mapped
+    monkeypatch.setattr(pii, "_mapped", lambda *of: (read.append(of), mapped(*of))[1])
+    assert pii.disclosing_terms(docs(spark, corpus()), evidence=15.0).count() > 0
+    assert len(read) == 2  # and once for the spans
