@@ -20,14 +20,16 @@ there, but are one witness. A null text is empty; null ids keep their rows; an e
 gives an empty result; other columns are not read.
 
 The texts are read three times: for the rows with entities, whose terms are stored; for the
-counts of the terms that these rows leave in question, and of their prefixes; and for the spans.
+counts of the terms that these rows leave in question, and of their prefixes, summed in each batch;
+and for the spans. Only texts that hold what every base span holds are searched for spans.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +57,14 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\W_]+")
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
+#: Every base span holds one of these.
+_TRACE = r"@|\+[0-9]|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|(?:[0-9][ -]?){15}[0-9]"
+#: A-Z in lower case, other ASCII signs but letters and digits as spaces; and 6 bits for each of these, none for a space.
+_SPACED = bytes(c if c > 127 else ord(chr(c).lower()) if chr(c).isalnum() else 32 for c in range(256))
+_CLASS = np.array([0 if c == 32 else 63 if c > 127 else 1 + "abcdefghijklmnopqrstuvwxyz0123456789".index(chr(c)) for c in _SPACED], np.int32)
+#: Bytes that are no part of an ASCII sign or a Latin-1 letter (or of one of few of these): only such may end a word.
+_ODD = np.array([c in (0x97, 0xB7) or (c >= 0xC0 and c != 0xC3) for c in range(256)])
+
 Span = tuple[int, int]
 
 
@@ -145,29 +155,96 @@ def _terms(text: str, spans: dict[str, list[Span]]) -> set[str]:
     return {w.lower() for w in plain}
 
 
-def _holding(texts: pa.Array, keep: Callable[[str], bool]) -> dict[int, set[str]]:
-    """The terms that ``keep`` takes of each row that has any, in or outside the base spans.
+def _marked(texts: pa.Array) -> pa.Array:
+    """Which texts may have base spans: the others have none."""
+    return pc.match_substring_regex(pc.fill_null(texts, ""), _TRACE)
+
+
+def _heads(terms: Iterable[str]) -> np.ndarray:
+    """At the classes of the first three bytes of a word: whether a term begins so."""
+    table = np.zeros((64, 64, 64), bool)
+    for head in {t[:LEAST_PREFIX] for t in terms}:
+        if head.isascii():
+            table[tuple(_CLASS[np.frombuffer(head.encode().ljust(LEAST_PREFIX), np.uint8)])] = True
+        else:
+            table[63], table[:, 63], table[:, :, 63] = True, True, True
+    return table.ravel()
+
+
+def _begun(data: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """The runs that begin as ``heads`` says or hold odd bytes; spaces for the rest. The last byte is a space."""
+    signs = np.append(_CLASS[data], np.int32(0))
+    inside = signs[:-1] > 0
+    starts = np.flatnonzero(inside & ~np.insert(inside[:-1], 0, False))
+    if not len(starts):
+        return data
+    second = signs[starts + 1]
+    third = np.where(second > 0, signs[starts + 2], 0)
+    wanted = heads[signs[starts] << 12 | second << 6 | third] | np.logical_or.reduceat(_ODD[data], starts)
+    kept = np.repeat(wanted, np.diff(starts, append=len(data)))
+    return np.where(np.insert(kept, 0, np.zeros(starts[0], bool)) & inside, data, np.uint8(32))
+
 
-    Each distinct run between white space is judged once.
+def _judged(texts: pa.Array, judge: Callable[[list[str]], list], heads: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, dict[int, list]]]:
+    """(rows, numbers of runs, what ``judge`` gives for a run's terms) of the runs for which it gives any, part by part.
+
+    A run has no ASCII signs but letters and digits; each distinct one is judged once, with ``heads`` only
+    those that these leave in question.
     """
-    found: dict[int, set[str]] = {}
     size = max(1, len(texts) * PIECE // max(1, texts.nbytes))
     for start in range(0, len(texts), size):
-        split = pc.ascii_split_whitespace(pc.fill_null(texts.slice(start, size).cast(pa.large_string()), ""))
+        # each text ends with a space, so that no run reaches into the next
+        part = pc.fill_null(texts.slice(start, size).cast(pa.large_string()), "")
+        part = pc.binary_join_element_wise(part, pa.scalar("", part.type), pa.scalar(" ", part.type))
+        offsets = np.frombuffer(part.buffers()[1], np.int64)[part.offset : part.offset + len(part) + 1]
+        data = np.frombuffer(part.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        data = np.frombuffer(data.tobytes().translate(_SPACED), np.uint8)
+        data = data if heads is None else _begun(data, heads)
+        spaced = pa.Array.from_buffers(pa.large_string(), len(part), [None, pa.py_buffer(offsets - offsets[0]), pa.py_buffer(data)])
+        split = pc.ascii_split_whitespace(spaced)
         runs = pc.list_flatten(split).dictionary_encode()
         kept = {}
-        for n, run in enumerate(runs.dictionary.to_numpy(zero_copy_only=False).tolist()):
-            if mine := [t for w in ((run,) if run.isalnum() else _WORD.findall(run)) if keep(t := w.lower())]:
+        for n, run in enumerate(runs.dictionary.to_pylist()):
+            if mine := judge([w.lower() for w in ((run,) if run.isalnum() else _WORD.findall(run))]):
                 kept[n] = mine
         index, own = runs.indices.to_numpy(), np.zeros(len(runs.dictionary), bool)
         own[list(kept)] = True
         places = np.flatnonzero(own[index])
         rows = np.searchsorted(split.offsets.to_numpy() - split.offsets[0].as_py(), places, side="right") - 1 + start
-        for row, n in zip(rows.tolist(), index[places].tolist(), strict=True):
+        yield rows, index[places], kept
+
+
+def _holding(texts: pa.Array, keep: Callable[[str], bool], heads: np.ndarray | None = None) -> dict[int, set[str]]:
+    """The terms that ``keep`` takes of each row that has any, in or outside the base spans."""
+    found: dict[int, set[str]] = {}
+    for rows, runs, kept in _judged(texts, lambda terms: [t for t in terms if keep(t)], heads):
+        for row, n in zip(rows.tolist(), runs.tolist(), strict=True):
             found.setdefault(row, set()).update(kept[n])
     return found
 
 
+def _documents(texts: pa.Array, judge: Callable[[list[str]], list], heads: np.ndarray | None = None) -> Counter:
+    """In how many rows each of the values stands that ``judge`` gives for the terms of the rows' runs."""
+    total: Counter = Counter()
+    for rows, runs, kept in _judged(texts, judge, heads):
+        if not len(rows):
+            continue
+        numbers: dict = {}
+        lists = [np.array([numbers.setdefault(v, len(numbers)) for v in values], np.int64) for values in kept.values()]
+        lengths = np.array([len(v) for v in lists])
+        begins, values, place = np.cumsum(lengths) - lengths, np.concatenate(lists), np.zeros(max(kept) + 1, np.int64)
+        place[list(kept)] = np.arange(len(kept))
+        # a run once a row, then all its values
+        once = np.unique(rows.astype(np.int64) * len(lists) + place[runs])
+        row, of = np.divmod(once, len(lists))
+        many = lengths[of]
+        at = np.repeat(begins[of] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        pairs = np.unique(np.repeat(row, many) * len(numbers) + values[at])
+        counts = np.bincount(pairs % len(numbers), minlength=len(numbers)).tolist()
+        total.update(dict(zip(numbers, counts, strict=True)))
+    return total
+
+
 def _least_hashes(text: str) -> list[int]:
     """Three MinHash values of the three-word shingles."""
     words = text.lower().split()
@@ -180,27 +257,34 @@ def _pair(entity: bytes, doc_id: int | None, text: str) -> int:
     return xxhash.xxh64_intdigest(entity + f"{doc_id}:{text}".encode()) - 2**63
 
 
-def _mapped(docs: DataFrame, each, schema: str, keep: Callable[[str], bool] | None = None) -> DataFrame:
-    """The rows that ``each`` yields for every doc_id and text; with ``keep``, for those that hold such terms, and these."""
+def _mapped(docs: DataFrame, of_batch: Callable[[pa.Array, pa.Array], Iterator[list[tuple]]], schema: str) -> DataFrame:
+    """The rows that ``of_batch`` yields for each batch of doc_id and text."""
     names = [c.split()[0] for c in schema.split(", ")]
-    kinds = {"binary": pa.binary(), "long": pa.int64(), "array<string>": pa.list_(pa.string()), "array<binary>": pa.list_(pa.binary()), "array<long>": pa.list_(pa.int64())}
+    kinds = {"binary": pa.binary(), "long": pa.int64(), "string": pa.string(), "array<string>": pa.list_(pa.string()), "array<binary>": pa.list_(pa.binary()), "array<long>": pa.list_(pa.int64())}
     types = [kinds[c.split()[1]] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = _holding(batch.column("text"), keep) if keep else {}
-            for part in range(0, batch.num_rows, 256):  # terms take more room than texts
-                piece = batch.slice(part, 256)
-                given = zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist(), strict=True)
-                if keep:
-                    rows = [r for n, (i, t) in enumerate(given, part) if n in found for r in each(i, t, found[n])]
-                else:
-                    rows = [r for i, t in given for r in each(i, t or "")]
+            for rows in of_batch(batch.column("doc_id"), batch.column("text")):
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def _one_by_one(each, marked: bool = False):
+    """A batch's rows as ``each`` yields them for a doc_id and text; ``marked`` leaves out texts without base spans."""
+
+    def of_batch(ids: pa.Array, texts: pa.Array) -> Iterator[list[tuple]]:
+        if marked:
+            keep = _marked(texts)
+            ids, texts = ids.filter(keep), texts.filter(keep)
+        for part in range(0, len(ids), 256):  # terms take more room than texts
+            given = zip(ids.slice(part, 256).to_pylist(), texts.slice(part, 256).to_pylist(), strict=True)
+            yield [r for i, t in given for r in each(i, t or "")]
+
+    return of_batch
+
+
 def _given(df: DataFrame, column: str, most: int):
     """The values of a column, broadcast as a set, or None if there are more than ``most``."""
     spark = df.sparkSession
@@ -235,7 +319,7 @@ def disclosing_terms(
             yield found, [_pair(e, doc_id, text) for e in found], *_least_hashes(text), sorted(_terms(text, spans))
 
     rows = "entities array<binary>, pairs array<long>, m1 long, m2 long, m3 long, terms array<string>"
-    bearing = stored(_mapped(docs, mention, rows), "mentions")
+    bearing = stored(_mapped(docs, _one_by_one(mention, marked=True), rows), "mentions")
     mentions = bearing.select(F.explode(F.arrays_zip("entities", "pairs")).alias("e"), "m1", "m2", "m3", "terms").selectExpr(
         "e.entities AS entity", "e.pairs AS pair", "m1", "m2", "m3", "terms")
     # witnesses: documents that no two share a MinHash value
@@ -271,7 +355,7 @@ def disclosing_terms(
     prefixes = _given(_prefixes(likely).select("prefix").distinct(), "prefix", MOST_TERMS)
     once, nothing = wanted is not None and prefixes is not None, spark.sparkContext.broadcast(frozenset())
     seen = stored(_seen(docs, wanted, prefixes, known), "classes") if once else _seen(docs, wanted, nothing, known)
-    counted = seen.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    counted = seen.where("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n_t"))
     flagged = stored(
         likely.join(counted, "term").join(often, "entity").where((told >= disclosure) & (sure >= evidence)).select("term", "entity"), "flagged")
     if flagged.isEmpty():
@@ -290,32 +374,44 @@ def _prefixes(terms: DataFrame) -> DataFrame:
 
 
 def _seen(docs: DataFrame, wanted, prefixes, known) -> DataFrame:
-    """(terms, prefixes, entities): what each document has of the given sets, if any term or prefix; None gives all."""
-    keep = None
+    """(term, prefix, entity, n): how many of a batch's documents have a term, a prefix, or a prefix and an entity of the given sets; None gives all."""
+    heads = None
     if wanted is not None and prefixes is not None:
-        heads = docs.sparkSession.sparkContext.broadcast(frozenset(t[:LEAST_PREFIX] for of in (wanted, prefixes) for t in of.value))
-        keep = lambda term: term[:LEAST_PREFIX] in heads.value
-
-    def held(doc_id: int | None, text: str, near: set[str] | None = None):
-        spans = base_spans(text)
-        if near is None or any(spans.values()):
-            outside = _terms(text, spans)
-            near = outside if near is None else near & outside
-        mine, begun = [t for t in near if _has(wanted, t)], []
-        if prefixes is None or prefixes.value:
-            begun = [p for p in {t[:k] for t in near for k in range(LEAST_PREFIX, len(t) + 1)} if _has(prefixes, p)]
-        if mine or begun:
-            yield mine, begun, [e for e in _entities(text, spans) if _has(known, e)] if begun else []
-
-    return _mapped(docs, held, "terms array<string>, prefixes array<string>, entities array<binary>", keep)
+        heads = docs.sparkSession.sparkContext.broadcast(_heads(t for of in (wanted, prefixes) for t in of.value))
+
+    def begun(terms: Iterable[str]) -> set[str]:
+        if prefixes is not None and not prefixes.value:
+            return set()
+        return {p for t in terms for k in range(LEAST_PREFIX, len(t) + 1) if _has(prefixes, p := t[:k])}
+
+    def held(terms: Iterable[str]) -> list[tuple]:
+        return [(t, None, None) for t in terms if _has(wanted, t)] + [(None, p, None) for p in begun(terms)]
+
+    def of_batch(ids: pa.Array, texts: pa.Array) -> Iterator[list[tuple]]:
+        marked = _marked(texts)
+        plain = pc.if_else(marked, pa.scalar(None, texts.type), texts)
+        counts = _documents(plain, held, None if heads is None else heads.value)
+        for text in texts.filter(marked).to_pylist():
+            spans = base_spans(text)
+            terms = _terms(text, spans)
+            mine = held(terms)
+            counts.update(mine)
+            entities = [e for e in _entities(text, spans) if _has(known, e)]
+            counts.update((None, p, e) for _, p, _ in mine if p is not None for e in entities)
+            if len(counts) > MOST_TERMS:
+                yield [(*key, n) for key, n in counts.items()]
+                counts.clear()
+        yield [(*key, n) for key, n in counts.items()]
+
+    return _mapped(docs, of_batch, "term string, prefix string, entity binary, n long")
 
 
 def _generalised(seen: DataFrame, flagged: DataFrame, often: DataFrame, n: int, disclosure: float) -> DataFrame:
     """Each flagged term with the longest prefix that discloses none of the term's entities."""
     wide = _prefixes(flagged)
-    each = seen.select(F.explode("prefixes").alias("prefix"), "entities").join(wide.select("prefix").distinct(), "prefix", "left_semi")
-    alone = each.groupBy("prefix").agg(F.count("*").alias("n_t"))
-    both = each.select("prefix", F.explode("entities").alias("entity")).groupBy("prefix", "entity").agg(F.count("*").alias("n_te"))
+    each = seen.where("prefix IS NOT NULL").join(wide.select("prefix").distinct(), "prefix", "left_semi")
+    alone = each.where("entity IS NULL").groupBy("prefix").agg(F.sum("n").alias("n_t"))
+    both = each.where("entity IS NOT NULL").groupBy("prefix", "entity").agg(F.sum("n").alias("n_te"))
     told, _ = _disclosure(n)
     judged = (
         wide.join(alone, "prefix").join(both, ["prefix", "entity"]).join(often, "entity").withColumn("support", F.col("n_te"))
@@ -348,16 +444,18 @@ def find(
     few = size <= MOST_TERMS
     table = dict(terms.collect()) if few else {}
     shared = docs.sparkSession.sparkContext.broadcast(table)
+    heads = docs.sparkSession.sparkContext.broadcast(_heads(table))
     rows = docs.select("doc_id", "text") if few else _with_terms(docs, terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            found = _holding(batch.column("text"), shared.value.__contains__) if shared.value else {}
+            found = _holding(batch.column("text"), shared.value.__contains__, heads.value) if shared.value else {}
+            marked = _marked(batch.column("text")).to_pylist()
             own = [None] * batch.num_rows if few else batch.column("terms").to_pylist()
             for n, (value, mine) in enumerate(zip(batch.column("text").to_pylist(), own, strict=True)):
                 text = value or ""
-                spans = base_spans(text)
+                spans = base_spans(text) if marked[n] else {k: [] for k in KINDS}
                 known = shared.value if few else {t["term"]: t["general"] for t in mine or []}
                 extra = []
                 if known and (not few or n in found):
@@ -385,7 +483,7 @@ def _with_terms(docs: DataFrame, terms: DataFrame) -> DataFrame:
         yield pair, sorted(_terms(text, base_spans(text)))
 
     of = (
-        _mapped(keyed.select(F.col("pair").alias("doc_id"), "text"), held, "pair long, terms array<string>").distinct()
+        _mapped(keyed.select(F.col("pair").alias("doc_id"), "text"), _one_by_one(held), "pair long, terms array<string>").distinct()
         .select("pair", F.explode("terms").alias("term")).join(terms, "term")
         .groupBy("pair").agg(F.collect_list(F.struct("term", "general")).alias("terms")))  # no more than the text has
     return keyed.join(of, "pair", "left").select("doc_id", "text", "terms")

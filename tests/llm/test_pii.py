@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 
 import pyarrow as pa
 import pytest
@@ -159,3 +160,41 @@ def test_texts_are_read_three_times(spark, monkeypatch):
     monkeypatch.setattr(pii, "_mapped", lambda *of: (read.append(of), mapped(*of))[1])
     assert pii.disclosing_terms(docs(spark, corpus()), evidence=15.0).count() > 0
     assert len(read) == 2  # and once for the spans
+
+
+def test_only_texts_without_a_trace_have_no_spans():
+    r = random.Random(5)
+    parts = ["1", "22", "4111", "111111111111", ".", " ", "-", "+", "(", ")", "@", "b.c", "é", "\n"]
+    texts = AWKWARD + ["".join(r.choice(parts) for _ in range(r.randrange(1, 25))) for _ in range(20_000)]
+    marked = pii._marked(pa.array([*texts, None])).to_pylist()
+    assert marked[-1] is False and not all(marked)
+    assert all(m or not any(pii.base_spans(t).values()) for t, m in zip(texts, marked))
+
+
+def test_heads_leave_out_only_words_without_terms():
+    r = random.Random(6)
+    parts = ["a", "B", "ab", "c1", "É", "K", "ΑΣ", "_", "٣", "-", ".", " ", "\xa0", "—", "\n", "'", "×", "÷", "ß", "Ñ", "à", "ÿ", "̇"]
+    texts = ["", "a", "ab"] + ["".join(r.choice(parts) for _ in range(r.randrange(1, 30))) for _ in range(3_000)]
+    given = pa.array([*texts, None], pa.string()).slice(1)
+    for wanted in ({"a"}, {"ab", "bab"}, {"abab", "ké", "1a"}, {"aé"}, {"abé", "abaé"}, {"ñ", "ßab"}):
+        found = pii._holding(given, wanted.__contains__, pii._heads(wanted))
+        assert found == {n: w for n, t in enumerate(texts[1:]) if (w := wanted & pii._terms(t, {}))}
+
+
+@pytest.mark.parametrize("piece", [100, pii.PIECE])
+def test_documents_are_counted_once_for_each_value(monkeypatch, piece):
+    monkeypatch.setattr(pii, "PIECE", piece)
+    texts = [prose(n, 20, 30) + " Zebra zebra—zebu" * (n % 3) for n in range(50)] + ["", None]
+    judge = lambda terms: [t[:k] for t in terms for k in (2, 3)]
+    found = pii._documents(pa.array(texts), judge)
+    assert found == Counter(v for t in texts for v in set(judge(pii._terms(t or "", {}))))
+
+
+def test_the_second_reading_gives_counts_not_rows(spark):
+    """What it gives does not grow with the rows that hold a term: it was a row for each."""
+    n = 300
+    frame = docs(spark, ["zebrafox and zebras"] * n + ["zebra x@y.zz"] * 2).coalesce(1)
+    sets = [spark.sparkContext.broadcast(frozenset(s)) for s in (["zebrafox"], ["zeb"])]
+    got = pii._seen(frame, *sets, None).collect()
+    assert len(got) <= 3
+    assert {(r.term, r.prefix, r.entity is None): r.n for r in got} == {("zebrafox", None, True): n, (None, "zeb", True): n + 2, (None, "zeb", False): 2}
