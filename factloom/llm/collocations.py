@@ -41,6 +41,8 @@ LENGTHS, LEAST, SCALE, SHARE, TOP = 4, 30, 2_000_000, 80, 2000
 SHARDS = 3
 #: Text that is counted at once, and the bounds of the array of first steps (bits; text bytes for each place).
 CHUNK_BYTES, LEAST_BITS, MOST_BITS, BYTES_A_PLACE = 8 << 20, 16, 26, 64
+#: So many chunks are held at most while each lang's text is gathered; then the largest is counted before it is full.
+HELD_CHUNKS = 4
 #: Parts of a lang whose best phrases are ranked before those of the whole lang.
 SALTS = 64
 UNKNOWN = "und"
@@ -111,25 +113,25 @@ def count_chunk(text: bytes, lang: str, step: int, shards: int, firsts: np.ndarr
     coded = pc.ascii_trim_whitespace(spaced).cast(pa.large_string())
     coded = pc.list_flatten(pc.ascii_split_whitespace(coded)).dictionary_encode()
     names, w = coded.dictionary.cast(pa.string()), coded.indices.to_numpy().astype(np.int64)
-    listed = names.to_pylist()
-    breaks = np.array([n in (".", "") for n in listed], bool)
+    listed = names.cast(pa.binary()).to_pylist()
+    breaks = pc.is_in(names, pa.array([".", ""], names.type)).to_numpy(zero_copy_only=False)
     if step < shards:
         counts = np.bincount(w, minlength=len(listed))
         real = np.flatnonzero(~breaks)
         yield 0, counts[real].sum(keepdims=True), pa.array([""], pa.string())
         yield 0, counts[real], names.take(pa.array(real))
-    h = np.array([_hash(x.encode()) for x in listed], np.uint64)
+    h = np.fromiter(map(_hash, listed), np.uint64, len(listed))
     begun = firsts[_place(h, lang, bits)]
     begun[breaks] = 0
-    # at each place: the hash of the phrase that starts there, and when what builds on it may start
-    head, may = h[w], begun[w]
+    # at each place: when what builds on the phrase that starts there may start; and its hash, if so
+    head, may = None, begun[w]
     for size in range(2, LENGTHS + 1):
         # both parts have reached the threshold, and no piece ends within
         alive = np.flatnonzero((may[:-1] > 0) & (may[1:] > 0))
         if not len(alive):
             return
         first = np.maximum(may[alive], may[alive + 1])
-        for f in np.unique(first).tolist():
+        for f in np.flatnonzero(np.bincount(first)).tolist():
             if f <= step < f + shards:  # its cycle is not over
                 places = alive[first == f]
                 keys = w[places]
@@ -140,9 +142,9 @@ def count_chunk(text: bytes, lang: str, step: int, shards: int, firsts: np.ndarr
                 yield f, counts, pc.binary_join_element_wise(*[names.take(pa.array(w[places + k])) for k in range(size)], " ")
         if size == LENGTHS:
             return
-        longer = _longer(head[alive], h[w[alive + size - 1]])
+        longer = _longer(h[w[alive]] if head is None else head[alive], h[w[alive + size - 1]])
         n = len(may) - 1
-        head, may = np.zeros(n, np.uint64), np.zeros(n, np.uint8)
+        head, may = np.empty(n, np.uint64), np.zeros(n, np.uint8)
         head[alive] = longer
         own = firsts[_place(longer, lang, bits)]
         # another phrase may have marked the place before this one was counted at all
@@ -153,26 +155,29 @@ def _counting(step: int, shards: int, given, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         firsts = np.frombuffer(given.value, np.uint8)
         by_lang: dict[str, list[bytes]] = defaultdict(list)
-        size = 0
+        sizes: dict[str, int] = defaultdict(int)
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, texts in by_lang.items():
-                for chunk in _chunks(texts):
-                    for first, counts, phrases in count_chunk(chunk, lang, step, shards, firsts, bits):
-                        keys = pc.binary_join_element_wise(pa.scalar(lang), phrases, "\t")
-                        yield pa.RecordBatch.from_arrays(
-                            [keys, pa.array(counts, pa.int64()), pa.array(np.full(len(keys), first), pa.int32())], ["key", "n", "state"])
-            by_lang.clear()
+        def counted(lang: str) -> Iterator[pa.RecordBatch]:
+            del sizes[lang]
+            for chunk in _chunks(by_lang.pop(lang)):
+                for first, counts, phrases in count_chunk(chunk, lang, step, shards, firsts, bits):
+                    keys = pc.binary_join_element_wise(pa.scalar(lang), phrases, "\t")
+                    yield pa.RecordBatch.from_arrays(
+                        [keys, pa.array(counts, pa.int64()), pa.array(np.full(len(keys), first), pa.int32())], ["key", "n", "state"])
 
+        held = 0
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-                plain = text.as_py().encode().translate(_PLAIN)
-                by_lang[lang].append(plain)
-                size += len(plain)
-                if size >= CHUNK_BYTES:
-                    yield from flush()
-                    size = 0
-        yield from flush()
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
+                by_lang[lang].append(text.translate(_PLAIN))
+                sizes[lang] += len(text)
+                held += len(text)
+                # a chunk of one lang repeats its phrases oftener than a chunk of all
+                full = lang if sizes[lang] >= CHUNK_BYTES else max(sizes, key=sizes.get) if held >= HELD_CHUNKS * CHUNK_BYTES else None
+                if full is not None:
+                    held -= sizes[full]
+                    yield from counted(full)
+        for lang in list(by_lang):
+            yield from counted(lang)
 
     return run
 

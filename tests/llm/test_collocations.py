@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from factloom.llm import collocations
@@ -112,3 +114,20 @@ def test_a_place_that_was_marked_early_does_not_cut_the_cycle_of_a_longer_phrase
     frame = spark.createDataFrame([(i, t, lang, "s", 1) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
     got = collocations.collocations(frame, least=8).collect()
     assert sorted(tuple(r) for r in got) == by_hand(rows, 8)
+
+
+@pytest.mark.parametrize("held", [2, 100])
+def test_the_text_of_each_lang_is_gathered_to_whole_chunks(monkeypatch, held):
+    """Langs in turns: a chunk of all would hold a part of each, and give its phrases that often."""
+    monkeypatch.setattr(collocations, "CHUNK_BYTES", 1000)
+    monkeypatch.setattr(collocations, "HELD_CHUNKS", held)
+    rows = [(f"l{n % 10}", "one two three. ") for n in range(1000)]
+    batches = [pa.RecordBatch.from_pydict({"lang": [lang for lang, _ in rows[k : k + 100]], "text": [t for _, t in rows[k : k + 100]]}) for k in range(0, 1000, 100)]
+    given = type("Given", (), {"value": np.zeros(1 << 4, np.uint8).tobytes()})
+    found = [r for b in collocations._counting(0, 3, given, 4)(iter(batches)) for r in b.to_pylist()]
+    total = Counter()
+    for r in found:
+        total[r["key"]] += r["n"]
+    assert total == {f"l{n}\t{w}": c for n in range(10) for w, c in [("", 300), ("one", 100), ("two", 100), ("three", 100)]}
+    if held == 100:
+        assert sum(r["key"] == "l0\tone" for r in found) == 2
