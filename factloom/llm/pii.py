@@ -20,13 +20,14 @@ there, but are one witness. A null text is empty; null ids keep their rows; an e
 gives an empty result; other columns are not read.
 
 The texts are read three times: for the rows with entities, whose terms are stored; for the
-counts of the terms that these rows leave in question, and of their prefixes, summed in each batch;
-and for the spans. Only texts that hold what every base span holds are searched for spans.
+counts of the terms that these rows leave in question, and of their prefixes, looked up as whole columns
+of distinct words and summed in each task; and for the spans. Only texts that hold what every base span holds are searched for spans.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
@@ -46,6 +47,8 @@ DISCLOSURE, SUPPORT, EVIDENCE = 0.8, 3, 30.0
 LEAST_PREFIX = 3
 #: Keys (8 bytes each), four for a digest or a candidate, or terms that workers are given whole; beyond them the tables are joined by shuffle.
 MOST_KEYS, MOST_TERMS = 2_000_000, 200_000
+#: Rows that Python gives at once.
+MOST_ROWS = 50_000
 #: Bytes of text that are split into words at once.
 PIECE = 8 << 20
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -61,9 +64,9 @@ _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9],
 _TRACE = r"@|\+[0-9]|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|(?:[0-9][ -]?){15}[0-9]"
 #: A-Z in lower case, other ASCII signs but letters and digits as spaces; and 6 bits for each of these, none for a space.
 _SPACED = bytes(c if c > 127 else ord(chr(c).lower()) if chr(c).isalnum() else 32 for c in range(256))
-_CLASS = np.array([0 if c == 32 else 63 if c > 127 else 1 + "abcdefghijklmnopqrstuvwxyz0123456789".index(chr(c)) for c in _SPACED], np.int32)
+_CLASS = bytes(0 if c == 32 else 63 if c > 127 else 1 + "abcdefghijklmnopqrstuvwxyz0123456789".index(chr(c)) for c in _SPACED)
 #: Bytes that are no part of an ASCII sign or a Latin-1 letter (or of one of few of these): only such may end a word.
-_ODD = np.array([c in (0x97, 0xB7) or (c >= 0xC0 and c != 0xC3) for c in range(256)])
+_ODD = bytes(c in (0x97, 0xB7) or (c >= 0xC0 and c != 0xC3) for c in range(256))
 
 Span = tuple[int, int]
 
@@ -165,31 +168,34 @@ def _heads(terms: Iterable[str]) -> np.ndarray:
     table = np.zeros((64, 64, 64), bool)
     for head in {t[:LEAST_PREFIX] for t in terms}:
         if head.isascii():
-            table[tuple(_CLASS[np.frombuffer(head.encode().ljust(LEAST_PREFIX), np.uint8)])] = True
+            table[tuple(head.encode().ljust(LEAST_PREFIX).translate(_CLASS))] = True
         else:
             table[63], table[:, 63], table[:, :, 63] = True, True, True
     return table.ravel()
 
 
-def _begun(data: np.ndarray, heads: np.ndarray) -> np.ndarray:
+def _begun(data: bytes, heads: np.ndarray) -> bytes | np.ndarray:
     """The runs that begin as ``heads`` says or hold odd bytes; spaces for the rest. The last byte is a space."""
-    signs = np.append(_CLASS[data], np.int32(0))
+    signs = np.append(np.frombuffer(data.translate(_CLASS), np.uint8), np.uint8(0))
     inside = signs[:-1] > 0
-    starts = np.flatnonzero(inside & ~np.insert(inside[:-1], 0, False))
+    starts = np.flatnonzero(inside[1:] > inside[:-1]) + 1
+    if inside[:1].any():
+        starts = np.insert(starts, 0, 0)
     if not len(starts):
         return data
-    second = signs[starts + 1]
-    third = np.where(second > 0, signs[starts + 2], 0)
-    wanted = heads[signs[starts] << 12 | second << 6 | third] | np.logical_or.reduceat(_ODD[data], starts)
-    kept = np.repeat(wanted, np.diff(starts, append=len(data)))
-    return np.where(np.insert(kept, 0, np.zeros(starts[0], bool)) & inside, data, np.uint8(32))
+    second = signs[starts + 1].astype(np.int32)
+    third = np.where(second > 0, signs[starts + 2], np.uint8(0))
+    odd = np.maximum.reduceat(np.frombuffer(data.translate(_ODD), np.uint8), starts) > 0
+    wanted = heads[signs[starts].astype(np.int32) << 12 | second << 6 | third] | odd
+    # what lies between runs is spaces already
+    kept = np.repeat(np.insert(wanted, 0, False), np.diff(starts, prepend=0, append=len(data)))
+    return np.where(kept, np.frombuffer(data, np.uint8), np.uint8(32))
 
 
-def _judged(texts: pa.Array, judge: Callable[[list[str]], list], heads: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, dict[int, list]]]:
-    """(rows, numbers of runs, what ``judge`` gives for a run's terms) of the runs for which it gives any, part by part.
+def _runs(texts: pa.Array, heads: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, pa.Array]]:
+    """(first row, where each row's runs begin, numbers of the runs, the distinct runs), part by part.
 
-    A run has no ASCII signs but letters and digits; each distinct one is judged once, with ``heads`` only
-    those that these leave in question.
+    A run has no ASCII signs but small letters and digits; with ``heads`` only those that these leave in question are given.
     """
     size = max(1, len(texts) * PIECE // max(1, texts.nbytes))
     for start in range(0, len(texts), size):
@@ -197,27 +203,54 @@ def _judged(texts: pa.Array, judge: Callable[[list[str]], list], heads: np.ndarr
         part = pc.fill_null(texts.slice(start, size).cast(pa.large_string()), "")
         part = pc.binary_join_element_wise(part, pa.scalar("", part.type), pa.scalar(" ", part.type))
         offsets = np.frombuffer(part.buffers()[1], np.int64)[part.offset : part.offset + len(part) + 1]
-        data = np.frombuffer(part.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-        data = np.frombuffer(data.tobytes().translate(_SPACED), np.uint8)
+        data = part.buffers()[2][offsets[0] : offsets[-1]].to_pybytes().translate(_SPACED)
         data = data if heads is None else _begun(data, heads)
         spaced = pa.Array.from_buffers(pa.large_string(), len(part), [None, pa.py_buffer(offsets - offsets[0]), pa.py_buffer(data)])
         split = pc.ascii_split_whitespace(spaced)
         runs = pc.list_flatten(split).dictionary_encode()
+        yield start, split.offsets.to_numpy() - split.offsets[0].as_py(), runs.indices.to_numpy(), runs.dictionary
+
+
+def _judged(
+    texts: pa.Array, judge: Callable[[list[str]], list], heads: np.ndarray | None = None, among: pa.Array | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray, dict[int, list]]]:
+    """(rows, numbers of runs, what ``judge`` gives for a run's terms) of the runs for which it gives any, part by part.
+
+    Each distinct run is judged once; with ``among`` an ASCII one only if it is a term of these.
+    """
+    for start, begins, index, distinct in _runs(texts, heads):
+        asked = np.arange(len(distinct))
+        if among is not None:
+            asked = asked[_flags(pc.or_(pc.is_in(distinct, value_set=among), pc.invert(pc.string_is_ascii(distinct))))]
         kept = {}
-        for n, run in enumerate(runs.dictionary.to_pylist()):
+        for n, run in zip(asked.tolist(), distinct.take(pa.array(asked)).to_pylist(), strict=True):
             if mine := judge([w.lower() for w in ((run,) if run.isalnum() else _WORD.findall(run))]):
                 kept[n] = mine
-        index, own = runs.indices.to_numpy(), np.zeros(len(runs.dictionary), bool)
+        own = np.zeros(len(distinct), bool)
         own[list(kept)] = True
         places = np.flatnonzero(own[index])
-        rows = np.searchsorted(split.offsets.to_numpy() - split.offsets[0].as_py(), places, side="right") - 1 + start
-        yield rows, index[places], kept
+        yield np.searchsorted(begins, places, side="right") - 1 + start, index[places], kept
+
+
+def _flags(of: pa.Array) -> np.ndarray:
+    return of.to_numpy(zero_copy_only=False)
+
+
+def _once(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys in order."""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
 
 
-def _holding(texts: pa.Array, keep: Callable[[str], bool], heads: np.ndarray | None = None) -> dict[int, set[str]]:
-    """The terms that ``keep`` takes of each row that has any, in or outside the base spans."""
+def _ranges(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of ranges, one range after the other."""
+    return np.repeat(begins - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+
+
+def _holding(texts: pa.Array, keep: Callable[[str], bool], heads: np.ndarray | None = None, among: pa.Array | None = None) -> dict[int, set[str]]:
+    """The terms that ``keep`` takes (only such as are ``among`` these) of each row that has any, in or outside the base spans."""
     found: dict[int, set[str]] = {}
-    for rows, runs, kept in _judged(texts, lambda terms: [t for t in terms if keep(t)], heads):
+    for rows, runs, kept in _judged(texts, lambda terms: [t for t in terms if keep(t)], heads, among):
         for row, n in zip(rows.tolist(), runs.tolist(), strict=True):
             found.setdefault(row, set()).update(kept[n])
     return found
@@ -235,16 +268,73 @@ def _documents(texts: pa.Array, judge: Callable[[list[str]], list], heads: np.nd
         begins, values, place = np.cumsum(lengths) - lengths, np.concatenate(lists), np.zeros(max(kept) + 1, np.int64)
         place[list(kept)] = np.arange(len(kept))
         # a run once a row, then all its values
-        once = np.unique(rows.astype(np.int64) * len(lists) + place[runs])
+        once = _once(rows.astype(np.int64) * len(lists) + place[runs])
         row, of = np.divmod(once, len(lists))
-        many = lengths[of]
-        at = np.repeat(begins[of] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        pairs = np.unique(np.repeat(row, many) * len(numbers) + values[at])
+        pairs = _once(np.repeat(row, lengths[of]) * len(numbers) + values[_ranges(begins[of], lengths[of])])
         counts = np.bincount(pairs % len(numbers), minlength=len(numbers)).tolist()
         total.update(dict(zip(numbers, counts, strict=True)))
     return total
 
 
+def _levels(terms: Iterable[str], prefixes: Iterable[str]) -> tuple[list[str], list[tuple[int | None, int, pa.Array]]]:
+    """The values, numbered, and (length, first number, values) of the terms, without a length, and of the prefixes of each length."""
+    values, levels = sorted(terms), []
+    levels.append((None, 0, pa.array(values, pa.large_string())))
+    for size, of in itertools.groupby(sorted(prefixes, key=lambda p: (len(p), p)), key=len):
+        of = list(of)
+        levels.append((size, len(values), pa.array(of, pa.large_string())))
+        values += of
+    return values, levels
+
+
+def _valued(words: pa.Array, levels: list[tuple[int | None, int, pa.Array]]) -> tuple[np.ndarray, np.ndarray]:
+    """(place, number): the values that each word is or begins with. Of a prefix, all shorter ones of ``LEAST_PREFIX`` or more must be given too."""
+    places, numbers, left = [], [], np.arange(len(words))
+    for size, first, of in levels:
+        at = pc.index_in(words if size is None else pc.utf8_slice_codeunits(words, 0, size), value_set=of)
+        has = at.is_valid()
+        numbers.append(first + at.drop_null().to_numpy().astype(np.int64))
+        places.append(left[_flags(has)])
+        if size is not None:  # the next prefix is longer
+            words, left = words.filter(has), places[-1]
+    return np.concatenate(places), np.concatenate(numbers)
+
+
+def _met(texts: pa.Array, levels: list[tuple[int | None, int, pa.Array]], heads: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, number of a value) once for each value that a term of the row is or begins with, part by part."""
+    total = sum(len(of) for *_, of in levels)
+    for start, begins, index, distinct in _runs(texts, heads):
+        plain = pc.string_is_ascii(distinct)
+        odd = zip(np.flatnonzero(~_flags(plain)).tolist(), distinct.filter(pc.invert(plain)).to_pylist(), strict=True)
+        terms = [(n, w.lower()) for n, run in odd for w in _WORD.findall(run)]
+        words = pa.concat_arrays([distinct.filter(plain), pa.array([w for _, w in terms], distinct.type)])
+        owners = np.concatenate([np.flatnonzero(_flags(plain)), np.array([n for n, _ in terms], np.int64)])
+        places, numbers = _valued(words, levels)
+        order = np.argsort(owners[places], kind="stable")
+        numbers, many = numbers[order], np.bincount(owners[places], minlength=len(distinct))
+        # a run once a row, then all its values
+        held = np.flatnonzero(many[index])
+        if not len(held):
+            continue
+        once = _once((np.searchsorted(begins, held, side="right") - 1) * len(distinct) + index[held])
+        row, of = np.divmod(once, len(distinct))
+        row, number = np.divmod(_once(np.repeat(row, many[of]) * total + numbers[_ranges((np.cumsum(many) - many)[of], many[of])]), total)
+        yield row + start, number
+
+
+def _gathered(columns: Iterable[pa.Array]) -> Iterator[pa.Array]:
+    """Columns joined to ``PIECE`` bytes and more: each lookup hashes all values anew."""
+    held, size = [], 0
+    for column in columns:
+        held.append(column)
+        size += column.nbytes
+        if size >= PIECE:
+            yield pa.concat_arrays(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_arrays(held)
+
+
 def _least_hashes(text: str) -> list[int]:
     """Three MinHash values of the three-word shingles."""
     words = text.lower().split()
@@ -257,16 +347,15 @@ def _pair(entity: bytes, doc_id: int | None, text: str) -> int:
     return xxhash.xxh64_intdigest(entity + f"{doc_id}:{text}".encode()) - 2**63
 
 
-def _mapped(docs: DataFrame, of_batch: Callable[[pa.Array, pa.Array], Iterator[list[tuple]]], schema: str) -> DataFrame:
-    """The rows that ``of_batch`` yields for each batch of doc_id and text."""
+def _mapped(docs: DataFrame, of_batches: Callable[[Iterator[tuple[pa.Array, pa.Array]]], Iterator[list[tuple]]], schema: str) -> DataFrame:
+    """The rows that ``of_batches`` yields for a task's batches of doc_id and text."""
     names = [c.split()[0] for c in schema.split(", ")]
     kinds = {"binary": pa.binary(), "long": pa.int64(), "string": pa.string(), "array<string>": pa.list_(pa.string()), "array<binary>": pa.list_(pa.binary()), "array<long>": pa.list_(pa.int64())}
     types = [kinds[c.split()[1]] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows in of_batch(batch.column("doc_id"), batch.column("text")):
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
+        for rows in of_batches((batch.column("doc_id"), batch.column("text")) for batch in batches):
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -274,15 +363,16 @@ def _mapped(docs: DataFrame, of_batch: Callable[[pa.Array, pa.Array], Iterator[l
 def _one_by_one(each, marked: bool = False):
     """A batch's rows as ``each`` yields them for a doc_id and text; ``marked`` leaves out texts without base spans."""
 
-    def of_batch(ids: pa.Array, texts: pa.Array) -> Iterator[list[tuple]]:
-        if marked:
-            keep = _marked(texts)
-            ids, texts = ids.filter(keep), texts.filter(keep)
-        for part in range(0, len(ids), 256):  # terms take more room than texts
-            given = zip(ids.slice(part, 256).to_pylist(), texts.slice(part, 256).to_pylist(), strict=True)
-            yield [r for i, t in given for r in each(i, t or "")]
+    def of_batches(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[list[tuple]]:
+        for ids, texts in batches:
+            if marked:
+                keep = _marked(texts)
+                ids, texts = ids.filter(keep), texts.filter(keep)
+            for part in range(0, len(ids), 256):  # terms take more room than texts
+                given = zip(ids.slice(part, 256).to_pylist(), texts.slice(part, 256).to_pylist(), strict=True)
+                yield [r for i, t in given for r in each(i, t or "")]
 
-    return of_batch
+    return of_batches
 
 
 def _given(df: DataFrame, column: str, most: int):
@@ -374,10 +464,57 @@ def _prefixes(terms: DataFrame) -> DataFrame:
 
 
 def _seen(docs: DataFrame, wanted, prefixes, known) -> DataFrame:
-    """(term, prefix, entity, n): how many of a batch's documents have a term, a prefix, or a prefix and an entity of the given sets; None gives all."""
-    heads = None
+    """(term, prefix, entity, n): in how many of a task's or batch's documents a term, a prefix, or a prefix and an entity of the given sets stand; None gives all."""
+    of_batches = _every(wanted, prefixes, known)
     if wanted is not None and prefixes is not None:
         heads = docs.sparkSession.sparkContext.broadcast(_heads(t for of in (wanted, prefixes) for t in of.value))
+        of_batches = _given_ones(wanted, prefixes, known, heads)
+    return _mapped(docs, of_batches, "term string, prefix string, entity binary, n long")
+
+
+def _given_ones(wanted, prefixes, known, heads):
+    """For ``_seen``, with both sets given: sums for each task."""
+
+    def of_batches(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[list[tuple]]:
+        values, levels = _levels(wanted.value, prefixes.value)
+        terms, alone = len(wanted.value), np.zeros(len(values), np.int64)
+        both: Counter = Counter()
+        numbers: dict[bytes, int] = {}
+
+        def with_entities() -> list[tuple]:
+            names = list(numbers)
+            return [(None, values[k >> 32], names[k & 0xFFFFFFFF], n) for k, n in both.items()]
+
+        for texts in _gathered(texts for _, texts in batches):
+            marked, outside, entities = _marked(texts), [], []
+            for text in texts.filter(marked).to_pylist():
+                spans = base_spans(text)
+                outside.append(_outside(text, spans))
+                entities.append([numbers.setdefault(e, len(numbers)) for e in _entities(text, spans) if _has(known, e)])
+            lengths = np.array([len(e) for e in entities], np.int64)
+            begins, flat = np.cumsum(lengths) - lengths, np.array([e for of in entities for e in of], np.int64)
+            plain = texts.filter(pc.invert(marked))
+            for rows, held in _met(pa.concat_arrays([plain, pa.array(outside, plain.type)]), levels, heads.value):
+                alone += np.bincount(held, minlength=len(alone))
+                own = (rows >= len(plain)) & (held >= terms)
+                of = rows[own] - len(plain)
+                pairs = np.repeat(held[own], lengths[of]) << 32 | flat[_ranges(begins[of], lengths[of])]
+                keys, counts = np.unique(pairs, return_counts=True)
+                both.update(dict(zip(keys.tolist(), counts.tolist(), strict=True)))
+            if len(both) > MOST_TERMS:
+                yield with_entities()
+                both.clear()
+                numbers.clear()
+        yield with_entities()
+        found = np.flatnonzero(alone)
+        for part in (found[k : k + MOST_ROWS].tolist() for k in range(0, len(found), MOST_ROWS)):
+            yield [(values[k] if k < terms else None, None if k < terms else values[k], None, n) for k, n in zip(part, alone[part].tolist(), strict=True)]
+
+    return of_batches
+
+
+def _every(wanted, prefixes, known):
+    """For ``_seen``, with a set that is too large to be given: sums for each batch."""
 
     def begun(terms: Iterable[str]) -> set[str]:
         if prefixes is not None and not prefixes.value:
@@ -387,23 +524,23 @@ def _seen(docs: DataFrame, wanted, prefixes, known) -> DataFrame:
     def held(terms: Iterable[str]) -> list[tuple]:
         return [(t, None, None) for t in terms if _has(wanted, t)] + [(None, p, None) for p in begun(terms)]
 
-    def of_batch(ids: pa.Array, texts: pa.Array) -> Iterator[list[tuple]]:
-        marked = _marked(texts)
-        plain = pc.if_else(marked, pa.scalar(None, texts.type), texts)
-        counts = _documents(plain, held, None if heads is None else heads.value)
-        for text in texts.filter(marked).to_pylist():
-            spans = base_spans(text)
-            terms = _terms(text, spans)
-            mine = held(terms)
-            counts.update(mine)
-            entities = [e for e in _entities(text, spans) if _has(known, e)]
-            counts.update((None, p, e) for _, p, _ in mine if p is not None for e in entities)
-            if len(counts) > MOST_TERMS:
-                yield [(*key, n) for key, n in counts.items()]
-                counts.clear()
-        yield [(*key, n) for key, n in counts.items()]
-
-    return _mapped(docs, of_batch, "term string, prefix string, entity binary, n long")
+    def of_batches(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[list[tuple]]:
+        for _, texts in batches:
+            marked = _marked(texts)
+            counts = _documents(texts.filter(pc.invert(marked)), held)
+            for text in texts.filter(marked).to_pylist():
+                spans = base_spans(text)
+                terms = _terms(text, spans)
+                mine = held(terms)
+                counts.update(mine)
+                entities = [e for e in _entities(text, spans) if _has(known, e)]
+                counts.update((None, p, e) for _, p, _ in mine if p is not None for e in entities)
+                if len(counts) > MOST_TERMS:
+                    yield [(*key, n) for key, n in counts.items()]
+                    counts.clear()
+            yield [(*key, n) for key, n in counts.items()]
+
+    return of_batches
 
 
 def _generalised(seen: DataFrame, flagged: DataFrame, often: DataFrame, n: int, disclosure: float) -> DataFrame:
@@ -448,26 +585,32 @@ def find(
     rows = docs.select("doc_id", "text") if few else _with_terms(docs, terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        among = pa.array(list(shared.value), pa.large_string())
+        nothing = hashlib.sha256(b"").hexdigest()
         for batch in batches:
-            out = []
-            found = _holding(batch.column("text"), shared.value.__contains__, heads.value) if shared.value else {}
-            marked = _marked(batch.column("text")).to_pylist()
-            own = [None] * batch.num_rows if few else batch.column("terms").to_pylist()
-            for n, (value, mine) in enumerate(zip(batch.column("text").to_pylist(), own, strict=True)):
-                text = value or ""
+            texts, size = batch.column("text"), batch.num_rows
+            found = _holding(texts, shared.value.__contains__, heads.value, among) if shared.value else {}
+            marked = _flags(_marked(texts))
+            own = [None] * size if few else batch.column("terms").to_pylist()
+            counts, bases, wholes = np.zeros((len(KINDS), size), np.int64), [nothing] * size, [""] * size
+            sanitised = pc.fill_null(texts, "").to_pylist() if keep_text else None
+            # the other texts have no spans
+            asked = [n for n in range(size) if marked[n] or n in found or own[n]]
+            for n, text in zip(asked, texts.take(pa.array(asked, pa.int64())).to_pylist(), strict=True):
+                text = text or ""
                 spans = base_spans(text) if marked[n] else {k: [] for k in KINDS}
-                known = shared.value if few else {t["term"]: t["general"] for t in mine or []}
+                known = shared.value if few else {t["term"]: t["general"] for t in own[n] or []}
                 extra = []
                 if known and (not few or n in found):
                     extra = [(a, b, known[w]) for a, b, w in _words(text, spans) if w in known]
                 base = [f"{k}:{a}:{b}" for k in KINDS for a, b in spans[k]]
-                whole = ",".join(base + [f"{TERM}:{a}:{b}" for a, b, _ in extra])
-                out.append((
-                    *[len(spans[k]) for k in KINDS], hashlib.sha256(",".join(base).encode()).hexdigest(), whole,
-                    _sanitised(text, spans, extra) if keep_text else None))
-            kinds = [*[pa.int64()] * 4, *[pa.string()] * 3]
-            made = [pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made[: len(names) - 1]], names)
+                counts[:, n] = [len(spans[k]) for k in KINDS]
+                bases[n] = hashlib.sha256(",".join(base).encode()).hexdigest()
+                wholes[n] = ",".join(base + [f"{TERM}:{a}:{b}" for a, b, _ in extra])
+                if keep_text:
+                    sanitised[n] = _sanitised(text, spans, extra)
+            made = [*map(pa.array, counts), *(pa.array(of, pa.string()) for of in (bases, wholes, *([sanitised] if keep_text else [])))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made], names)
 
     names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", *(["sanitised"] if keep_text else [])]
     schema = ", ".join(["doc_id long", *(f"n_{k} long" for k in KINDS), "base_sha256 string", "spans string"])

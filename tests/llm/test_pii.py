@@ -198,3 +198,42 @@ def test_the_second_reading_gives_counts_not_rows(spark):
     got = pii._seen(frame, *sets, None).collect()
     assert len(got) <= 3
     assert {(r.term, r.prefix, r.entity is None): r.n for r in got} == {("zebrafox", None, True): n, (None, "zeb", True): n + 2, (None, "zeb", False): 2}
+
+
+def test_the_second_reading_sums_over_a_task(spark):
+    """What it gives does not grow with a task's batches: it was a row for each value and batch."""
+    key, n = "spark.sql.execution.arrow.maxRecordsPerBatch", 300
+    frame = docs(spark, ["zebrafox and zebras", "zebra x@y.zz"] * n).coalesce(1)
+    sets = [spark.sparkContext.broadcast(frozenset(s)) for s in (["zebrafox"], ["zeb", "zebr"])]
+    old = spark.conf.get(key)
+    spark.conf.set(key, "50")
+    try:
+        got = pii._seen(frame, *sets, None).collect()
+    finally:
+        spark.conf.set(key, old)
+    assert len(got) == 5
+    assert {(r.term, r.prefix, r.entity is None): r.n for r in got} == {
+        ("zebrafox", None, True): n, (None, "zeb", True): 2 * n, (None, "zebr", True): 2 * n, (None, "zeb", False): n, (None, "zebr", False): n}
+
+
+@pytest.mark.parametrize("piece", [100, pii.PIECE])
+def test_values_looked_up_as_columns_are_those_of_each_text(monkeypatch, piece):
+    monkeypatch.setattr(pii, "PIECE", piece)
+    r = random.Random(7)
+    parts = ["a", "B", "ab", "c1", "É", "K", "ΑΣ", "_", "٣", "-", ".", " ", "\xa0", "—", "\n", "ß", "à", " x@y.zz ", " 1.2.3.4 ", "İ"]
+    texts = ["x", "", "abab", "ab"] + ["".join(r.choice(parts) for _ in range(r.randrange(1, 30))) for _ in range(2_000)]
+    given = pa.array([*texts, None], pa.string()).slice(1)  # as a part of a larger column
+    words = sorted({t for text in texts for t in pii._terms(text, pii.base_spans(text))})
+    wanted = set(r.sample(words, len(words) // 2)) | {"a", "ab"}
+    sets = [type("Given", (), {"value": frozenset(s)}) for s in (wanted, {t[:k] for t in wanted for k in range(3, len(t))})]
+    heads = type("Given", (), {"value": pii._heads(t for s in sets for t in s.value)})
+    sums = []
+    for of_batches in (pii._given_ones(*sets, None, heads), pii._every(*sets, None)):
+        sums.append(Counter())
+        for rows in of_batches(iter([(None, given.slice(0, 700)), (None, given.slice(700))])):
+            for *value, n in rows:
+                sums[-1][tuple(value)] += n
+    assert sums[0] == sums[1] and len(sums[0]) > 1_000
+    first = next(w for w in sorted(wanted) if len(w) > 3)
+    assert sums[0][first, None, None] == sum(first in pii._terms(t, pii.base_spans(t)) for t in texts[1:])
+    assert sums[0][None, first[:3], None] == sum(any(w.startswith(first[:3]) for w in pii._terms(t, pii.base_spans(t))) for t in texts[1:])
